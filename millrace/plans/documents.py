@@ -19,8 +19,10 @@ KEYS = {
 
 
 def say(*parts) -> Column:
-    """Concatenate; plain strings are literal text, columns their value."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    """Concatenate; plain strings are literal text, columns their value or "unknown"."""
+    return F.concat(*[
+        F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("unknown")) for p in parts
+    ])
 
 
 def _doc(df: DataFrame, kind: str, text: Column, **keys: Column) -> DataFrame:
@@ -253,7 +255,7 @@ def doc_housing_state_year(stats: DataFrame) -> DataFrame:
 def corpus(
     prices: DataFrame, indicators: DataFrame, housing: DataFrame,
     first: str = "2018-01-01", last: str = "2021-12-31", codes: list[str] = ("LRAW", "CRAW"),
-    limit: int | None = 10000,
+    limit: int | None = None,
 ) -> DataFrame:
     """All documents, each with an id that depends only on its content."""
     documents = stack(
