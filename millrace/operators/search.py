@@ -43,7 +43,7 @@ _OPTIONAL = {
     "family": "string", "codes": "array<string>", "countries": "array<string>",
     "start_year": "int", "end_year": "int", "lists": "array<int>",
 }
-_HITS = "request_id {rid}, id {cid}, similarity double"
+_HITS = "request_id {rid}, id {cid}, similarity double, k int"
 
 
 def _matrix(column) -> np.ndarray:
@@ -124,14 +124,14 @@ class _Scorer:
 
     def _keep(self, row: int, scores: np.ndarray, ids: np.ndarray) -> None:
         k = self.k[row]
-        if np.isnan(scores[:1]).any():
-            return  # the request itself is a zero vector
+        if k <= 0 or np.isnan(scores[:1]).any():
+            return  # nothing asked for, or the request itself is a zero vector
         old_scores, old_ids = self.best[row]
         if len(old_scores) >= k:
             better = scores >= old_scores[-1]
             scores, ids = scores[better], ids[better]
         scores, ids = np.concatenate([old_scores, scores]), np.concatenate([old_ids, ids])
-        if len(scores) > k > 0:
+        if len(scores) > k:
             # Everything not below the k-th best, ties included; then cut by id.
             floor = np.partition(scores, len(scores) - k)[len(scores) - k]
             near = scores >= floor
@@ -144,7 +144,8 @@ class _Scorer:
         request_ids = [rid for rid, n in zip(self.ids, counts) for _ in range(n)]
         scores = np.concatenate([s for s, _ in self.best]) if counts else np.empty(0)
         ids = np.concatenate([i for _, i in self.best]) if counts else np.empty(0, dtype=np.int64)
-        return pa.table([request_ids, ids, scores], names=["request_id", "id", "similarity"]).cast(schema)
+        limits = [k for k, n in zip(self.k, counts) for _ in range(n)]
+        return pa.table([request_ids, ids, scores, limits], names=schema.names).cast(schema)
 
 
 def _prepare(requests: DataFrame) -> DataFrame:
@@ -185,10 +186,9 @@ def search(
     else:
         partial = _blocks(scanned, wanted, request_limit, bucket_rows, schema)
     best_first = [F.desc("similarity"), F.asc("id")]
-    limits = wanted.select("request_id", "k")
     salts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        top_per_key(partial.join(limits, "request_id"), ["request_id"], best_first, "k", salts=salts)
+        top_per_key(partial, ["request_id"], best_first, "k", salts=salts)
         .select("request_id", "id", "similarity", "rank")
     )
 
