@@ -6,7 +6,8 @@ are small and of constant size, so joins against them may broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # ---------------------------------------------------------------------------
 # These must equal the published data conventions for results to
@@ -392,9 +393,22 @@ def code_lists(text: str) -> list[tuple[str, list[str]]]:
     return [(key, value.split()) for key, value in pairs(text)]
 
 
+_ARROW = {
+    "string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(),
+    "array<string>": pa.list_(pa.string()),
+}
+
+
+def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """Rows held in the plan itself, so Spark knows how many bytes they are."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = [pa.array(list(c), _ARROW[f.dataType.simpleString()]) for f, c in zip(fields, zip(*rows))]
+    return spark.createDataFrame(pa.table(columns, names=[f.name for f in fields]))
+
+
 def table(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small literal table, marked for broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return F.broadcast(literal_table(spark, rows, schema))
 
 
 def states(spark: SparkSession) -> DataFrame:

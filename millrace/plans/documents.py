@@ -106,7 +106,7 @@ def asset_trends(prices: DataFrame, min_years: int = 3) -> DataFrame:
 def doc_asset_trend(trends: DataFrame) -> DataFrame:
     c, code = F.col, F.col("asset_key")
     first = F.get("yearly", F.lit(0))["avg_price"]
-    last = F.element_at("yearly", -1)["avg_price"]
+    last = F.try_element_at("yearly", F.lit(-1))["avg_price"]
     pct = X.pct_change(last, first, positive_only=True)
     lines = F.transform(
         "yearly", lambda y: F.concat(y["year"].cast("string"), F.lit(": $"), X.fmt(y["avg_price"]))

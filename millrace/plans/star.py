@@ -31,7 +31,7 @@ def dim_country(indicators: DataFrame, default: tuple[str, str] = lookups.DEFAUL
     One name per code (the first in order), so facts cannot fan out.
     """
     spark = indicators.sparkSession
-    forced = spark.createDataFrame([default], "country_code string, country_name string")
+    forced = lookups.literal_table(spark, [default], "country_code string, country_name string")
     named = stack_distinct(indicators.select("country_code", "country_name"), forced)
     return dedupe(named.filter(F.col("country_code").isNotNull()), ["country_code"]).select(
         hash_key(F.col("country_code")).alias("country_key"), "country_name", "country_code"

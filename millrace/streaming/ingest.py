@@ -66,11 +66,20 @@ def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None
     write_table(clean, path, "overwrite", ["year"], touched_only=True)
 
 
+def _upsert(batch: DataFrame, path: str, symbols: list[str] | None) -> None:
+    # Read twice: once for the years it touches, once for the merge.
+    batch.persist()
+    try:
+        upsert_by_year(batch, path, symbols)
+    finally:
+        batch.unpersist()
+
+
 def maintain_clean_bars(
     bars: DataFrame, path: str, checkpoint: str, symbols: list[str] | None = None
 ) -> StreamingQuery:
     """Keep the clean table up to date from a stream of bars, then stop."""
     return (
-        bars.writeStream.foreachBatch(lambda batch, _: upsert_by_year(batch, path, symbols))
+        bars.writeStream.foreachBatch(lambda batch, _: _upsert(batch, path, symbols))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
