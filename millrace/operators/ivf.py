@@ -37,8 +37,8 @@ def build_ivf(
     spark.createDataFrame(centers, "list_id int, centroid array<double>").write.mode("overwrite").parquet(
         f"{path}/centroids"
     )
-    # The file layout, not a shuffle, separates the lists: a list that holds a third of
-    # all vectors stays spread over many tasks and files.
+    # Rebalanced, not hashed, by list: a list that holds a third of all vectors is
+    # written by many tasks into many files.
     assigned = model.transform(usable).drop("_unit").withColumn("list_id", F.col("list_id").cast("int"))
     write_table(assigned, f"{path}/lists", partition_by=["list_id"])
 

@@ -9,7 +9,9 @@ from millrace.session import stable
 _LOW_33 = (1 << 33) - 1
 
 
-def dense_key(df: DataFrame, sort_cols: list[str], out: str, partitions: int | None = None) -> DataFrame:
+def dense_key(
+    df: DataFrame, sort_cols: list[str], out: str, partitions: int | None = None, key_type: str = "int"
+) -> DataFrame:
     """Number the rows 1..n in the order of ``sort_cols``, which must be unique together.
 
     Same result as ``row_number().over(Window.orderBy(...))``, but the sort is
@@ -17,6 +19,9 @@ def dense_key(df: DataFrame, sort_cols: list[str], out: str, partitions: int | N
     partition-local positions; only one count per partition is summed up centrally.
     Range bounds are sampled, so the positioned rows are checkpointed: recomputing
     a lost partition against other bounds would renumber it.
+
+    The star schema's keys are int; more than 2^31 rows raise an error rather than
+    wrap around, and need ``key_type="bigint"``.
     """
     ranged = (
         df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
@@ -27,7 +32,7 @@ def dense_key(df: DataFrame, sort_cols: list[str], out: str, partitions: int | N
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    key = (F.col("_offset") + F.col("_at").bitwiseAND(F.lit(_LOW_33)) + 1).cast("int")
+    key = (F.col("_offset") + F.col("_at").bitwiseAND(F.lit(_LOW_33)) + 1).cast(key_type)
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")

@@ -38,6 +38,7 @@ FAMILIES = {
 DIGITS = 9
 REQUEST_LIMIT = 4096
 BUCKET_ROWS = 50_000
+TILE = 256  # requests scored at once: bounds the score matrix of a batch
 
 _OPTIONAL = {
     "family": "string", "codes": "array<string>", "countries": "array<string>",
@@ -117,10 +118,12 @@ class _Scorer:
             mask = self._mask(batch, key) & usable
             if not mask.any():
                 continue
-            scores = np.round(vectors[mask] @ self.vectors[rows].T, DIGITS)
-            found = ids[mask]
-            for place, row in enumerate(rows):
-                self._keep(row, scores[:, place], found)
+            matching, found = vectors[mask], ids[mask]
+            for start in range(0, len(rows), TILE):
+                tile = rows[start:start + TILE]
+                scores = np.round(matching @ self.vectors[tile].T, DIGITS)
+                for place, row in enumerate(tile):
+                    self._keep(row, scores[:, place], found)
 
     def _keep(self, row: int, scores: np.ndarray, ids: np.ndarray) -> None:
         k = self.k[row]

@@ -69,9 +69,13 @@ def _(d):
     return joined.select("o_orderkey", "unit")
 
 
-@query("src08_provenance")
+@query("src08_provenance", "select s_suppkey, true as stamped, 'supplier.parquet' as file_name from supplier")
 def _(d):
-    return sources.with_provenance(d.table("supplier")).select("s_suppkey", "ingestion_timestamp", "source_file")
+    stamped = sources.with_provenance(d.supplier)
+    return stamped.select(
+        "s_suppkey", F.col("ingestion_timestamp").isNotNull().alias("stamped"),
+        F.element_at(F.split("source_file", "/"), -1).alias("file_name"),
+    )
 
 
 @query("src09_explode_bars", """
@@ -93,11 +97,8 @@ def _(d):
 select {BAR_COLS} from fx_bars, (select max(date_parsed) as as_of from fx_bars)
 where date_parsed = as_of - case type when 'STOCK' then 3 else 1 end""")
 def _(d):
-    bars = d.fx_bars
-    newest = bars.agg(F.max("date_parsed").alias("as_of"))
-    # A single row: the aggregate has no grouping.
-    dated = bars.join(F.broadcast(newest))
-    return landing.day_slice(dated, F.col("as_of"), lookups.LAG_DAYS).drop("as_of")
+    as_of = d.lineitem.agg(F.max(F.col("l_shipdate").cast("date"))).first()[0]
+    return landing.day_slice(d.fx_bars, F.lit(as_of), lookups.LAG_DAYS)
 
 
 @query("src12_not_yet_landed", """
@@ -157,7 +158,7 @@ def _(d):
     return sinks.publish({"dim_cryptostock_value": values}, scratch_path(d.spark, "serving"))["dim_cryptostock_value"]
 
 
-@query("snk06_remove_read_files")
+@query("snk06_remove_read_files", "select symbol, count(*) * case type when 'CRYPTO' then 2 else 1 end as bars from fx_bars group by symbol, type")
 def _(d):
     from millrace.streaming.ingest import ingest_envelopes
 
@@ -439,14 +440,14 @@ def _(d):
 
 ASSET_YEAR_SQL = f"""
 select asset_key, year, min(close) as min_close, max(close) as max_close, min_by(close, date) as first_close, max_by(close, date) as last_close,
- min(low) as year_low, max(high) as year_high, {_AVG.format('close')} as avg_price, round(coalesce(stddev(cast(close as double)), 0), 4) as price_stddev,
+ min(low) as year_low, max(high) as year_high, {_AVG.format('close')} as avg_price, round(coalesce(stddev(cast(close as double)), 0), 3) as price_stddev,
  cast(sum(volume) as bigint) as total_volume, {_AVG.format('volume')} as avg_volume, count(*) as trading_days, min(date) as first_date, max(date) as last_date
 from o_prices group by asset_key, year having count(*) >= 2"""
 
 
 @query("agg02_asset_year", ASSET_YEAR_SQL)
 def _(d):
-    return rounded(metrics.asset_year(prices(d))).withColumn("price_stddev", F.round("price_stddev", 4))
+    return rounded(metrics.asset_year(prices(d))).withColumn("price_stddev", F.round("price_stddev", 3))
 
 
 @query("agg04_asset_lifetime", f"""
@@ -466,7 +467,7 @@ def _(d):
 
 
 _FIGURES = f"""{_AVG.format('value')} as avg_value, min(value) as min_value, max(value) as max_value,
- round(stddev(cast(value as double)), 4) as stddev_value, count(*) as data_points"""
+ round(stddev(cast(value as double)), 3) as stddev_value, count(*) as data_points"""
 _STATE = "realestate_indicator_key, indicator_name, indicator_description, state_name, state_code, year"
 
 
@@ -495,7 +496,7 @@ select {_STATE}, {_FIGURES}, unit from o_housing_figures where date_key between
 group by {_STATE}, unit having count(*) >= 3""")
 def _(d):
     stats = metrics.state_year(house_figures(d), "1996-01-01", "1999-12-31")
-    return rounded(stats).withColumn("stddev_value", F.round("stddev_value", 4))
+    return rounded(stats).withColumn("stddev_value", F.round("stddev_value", 3))
 
 
 @query("agg07_state_month", f"""
@@ -503,7 +504,7 @@ select {_STATE}, month_number, month_name, {_FIGURES}, unit from o_housing_figur
 group by {_STATE}, month_number, month_name, unit having count(*) >= 3""")
 def _(d):
     stats = metrics.state_month(house_figures(d), 1998, "OH")
-    return rounded(stats).withColumn("stddev_value", F.round("stddev_value", 4))
+    return rounded(stats).withColumn("stddev_value", F.round("stddev_value", 3))
 
 
 @query("agg08_group_as_distinct", "select region_type from fx_regions group by region_type")

@@ -140,7 +140,20 @@ def corpus(d):
     )
 
 
-@query("doc11_corpus")
+KIND_COUNTS = """
+select 'housing' as doc_kind, count(*) as n from o_housing_figures where realestate_indicator_key in ('LRAW', 'CRAW') and date_key between date '1996-01-01' and date '1999-12-31'
+union all select 'housing_state_year', count(*) from (select 1 from o_housing_figures where date_key between date '1996-01-01' and date '1999-12-31' and state_code is not null group by realestate_indicator_key, state_code, state_name, year having count(*) >= 3)
+union all select 'asset_day', count(*) from o_prices
+union all select 'indicator_year', count(*) from o_indicator_figures
+union all select 'indicator_trend', count(*) from (select 1 from o_indicator_figures group by country_code, series_id having count(*) >= 3)
+union all select 'indicator_year_over_year', count(*) from o_indicator_figures c join o_indicator_figures p on c.country_code = p.country_code and c.series_id = p.series_id and c.year = p.year + 1
+union all select 'asset_month', count(*) from (select distinct asset_key, year, month_number from o_prices)
+union all select 'asset_year', count(*) from (select 1 from o_prices group by asset_key, year having count(*) >= 2)
+union all select 'asset_year_over_year', count(*) from (select distinct asset_key, year from o_prices) c join (select distinct asset_key, year from o_prices) p on c.asset_key = p.asset_key and c.year = p.year + 1
+union all select 'asset_trend', count(*) from (select 1 from o_prices group by asset_key having count(distinct year) >= 3)"""
+
+
+@query("doc11_corpus", f"select doc_kind, n as documents, n as ids from ({KIND_COUNTS})")
 def _(d):
     """Documents per kind with the number of distinct ids."""
     return corpus(d).groupBy("doc_kind").agg(

@@ -10,10 +10,8 @@ from millrace.operators.search import search
 from millrace.plans import retrieve as R
 from millrace.session import scratch_path
 from millrace.sinks.files import write_table
-from registry.basics import rounded
 from registry.book import query
-from registry.docs import corpus
-from registry.fixtures import oracle  # noqa: F401
+from registry.docs import KIND_COUNTS, corpus
 
 c = F.col
 
@@ -27,7 +25,7 @@ def _(d):
     return vectors.filter(c("w") != 0).select("doc_id", "place", F.round(c("w").cast("double"), 6).alias("weight"))
 
 
-@query("snk05_store_chunks")
+@query("snk05_store_chunks", f"select doc_kind, n as chunks, 64 as dim, n as stamped from ({KIND_COUNTS})")
 def _(d):
     """Documents to embedded chunks, written in one atomic job."""
     path = scratch_path(d.spark, "chunks")
@@ -111,6 +109,17 @@ def _(d):
     return ivf.ivf_search(d.spark, requests, path, probes=10)
 
 
+@query("vec06_list_index_all", """
+select question_id as request_id, id, similarity, cast(rn as int) as rank from (
+ select *, row_number() over (partition by question_id order by similarity desc, id) as rn from o_sim) where rn <= 10""")
+def _(d):
+    """Probing every list must give what the exact search gives."""
+    path = scratch_path(d.spark, "ivf")
+    ivf.build_ivf(d.fx_chunks, path, lists=8, iterations=3)
+    requests = d.fx_queries.select(c("question_id").alias("request_id"), "vector", F.lit(10).alias("k"))
+    return ivf.ivf_search(d.spark, requests, path, probes=8)
+
+
 # -- balanced retrieval -------------------------------------------------------
 
 def _questions(d):

@@ -202,7 +202,7 @@ def _(d):
 select {_STATE}, month_number, month_name, {_FIGURES}, unit from o_housing_figures where year = 1998 and state_code = 'TX'
 group by {_STATE}, month_number, month_name, unit having count(*) >= 3""")
 def _(d):
-    return rounded(P.housing_monthly(gold(d), 1998, "TX")).withColumn("stddev_value", F.round("stddev_value", 4))
+    return rounded(P.housing_monthly(gold(d), 1998, "TX")).withColumn("stddev_value", F.round("stddev_value", 3))
 
 
 @query("api04_asset_daily", """
@@ -218,7 +218,7 @@ from o_housing_figures where year = 1998 and state_code = 'TX' group by {_STATE}
 def _(d):
     series = P.housing_series(gold(d), 1998, "TX")
     flat = series.select("state", "year", "indicator_name", "indicator_id", F.inline("series"))
-    return rounded(flat).withColumn("stddev_value", F.round("stddev_value", 4))
+    return rounded(flat).withColumn("stddev_value", F.round("stddev_value", 3))
 
 
 @query("src05_named_views", """
