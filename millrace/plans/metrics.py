@@ -99,12 +99,15 @@ def asset_yearly_averages(prices: DataFrame) -> DataFrame:
 
 
 def trend(df: DataFrame, keys: list[str], year: str, value: str, min_points: int = 3) -> DataFrame:
-    """First and last value by year, change and percent change, number of points."""
+    """First and last value by year, change and percent change, number of points.
+
+    Needs one row per key and year for a definite result.
+    """
     ends = df.groupBy(*keys).agg(
         F.min(year).alias("start_year"),
         F.max(year).alias("end_year"),
-        F.min_by(value, F.struct(year, value)).alias("start_value"),
-        F.max_by(value, F.struct(year, value)).alias("end_value"),
+        F.min_by(value, year).alias("start_value"),
+        F.max_by(value, year).alias("end_value"),
         F.count(F.lit(1)).alias("points"),
     ).filter(F.col("points") >= min_points)
     change = F.col("end_value").cast("double") - F.col("start_value").cast("double")

@@ -24,12 +24,20 @@ def _year_of(day) -> int:
     return day.year if isinstance(day, dt.date) else int(str(day)[:4])
 
 
-def asset_prices(star: dict[str, DataFrame], where: Column | None = None, years=(None, None)) -> DataFrame:
-    """Daily prices of all assets: fact x asset x time x value."""
-    fact = _years(star["fact_value"], *years).filter(F.col("cryptostock_value_key").isNotNull())
-    if where is not None:
-        fact = fact.filter(where)
-    values = star["dim_cryptostock_value"].select("cryptostock_value_key", "high", "low", "close", "volume")
+def asset_prices(star: dict[str, DataFrame], asset: str | None = None, start=None, end=None) -> DataFrame:
+    """Daily prices: fact x asset x time x value, of all assets or one, for all days or a range."""
+    fact = star["fact_value"].filter(F.col("cryptostock_value_key").isNotNull())
+    values = star["dim_cryptostock_value"]
+    # The value table repeats symbol and date, so the same condition cuts its scan too.
+    wide = {"symbol", "date_parsed"} <= set(values.columns)
+    if asset is not None:
+        fact = fact.filter(F.col("asset_key") == F.lit(asset))
+        values = values.filter(F.col("symbol") == F.lit(asset)) if wide else values
+    if start is not None:
+        first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+        fact = _years(fact, _year_of(start), _year_of(end)).filter(F.col("date_key").between(first, last))
+        values = values.filter(F.col("date_parsed").between(first, last)) if wide else values
+    values = values.select("cryptostock_value_key", "high", "low", "close", "volume")
     return (
         fact.select("cryptostock_value_key", "date_key", "asset_key")
         .join(star["dim_asset"], "asset_key")
@@ -44,11 +52,7 @@ def asset_prices(star: dict[str, DataFrame], where: Column | None = None, years=
 
 def asset_daily(star: dict[str, DataFrame], asset: str, start, end) -> DataFrame:
     """Prices of one asset between two dates, inclusive."""
-    where = (F.col("asset_key") == F.lit(asset)) & F.col("date_key").between(
-        F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
-    )
-    found = asset_prices(star, where, (_year_of(start), _year_of(end)))
-    return found.select(
+    return asset_prices(star, asset, start, end).select(
         "date", F.col("asset_key").alias("ticker"), F.col("type").alias("asset_type"),
         F.col("close").alias("close_price"), F.col("high").alias("high_price"),
         F.col("low").alias("low_price"), "volume",

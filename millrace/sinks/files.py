@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-    touched_only: bool = False,
+    touched_only: bool = False, sort_by: list[str] = (),
 ) -> None:
-    """Write Parquet.
+    """Write Parquet, rows of a file in the order of ``sort_by`` so that scans can skip row groups.
 
     With ``partition_by`` rows are first rebalanced on those columns, so a partition
     gets few files, while AQE still splits one that holds most of the data.
@@ -18,6 +18,8 @@ def write_table(
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
     writer = df.write.mode(mode)
     if touched_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")

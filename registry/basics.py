@@ -16,6 +16,7 @@ from millrace.sinks import files as sinks
 from millrace.sources import files as sources, landing
 from registry.book import query
 from registry.fixtures import HOUSING_CODES, SYMBOLS, _in
+from registry.lake import silver, units
 
 BAR_COLS = "symbol, type, date_parsed, high, low, last, volume"
 
@@ -311,9 +312,9 @@ select h.region_id, h.date, v.value_key from sv_housing h left join lk_house_uni
 join o_dim_value v on v.value = h.value and v.unit = coalesce(u.unit, 'USD_CURRENT')""")
 def _(d):
     indicators, housing, _ = _silver(d)
-    units = lookups.housing_units(d.spark)
-    values = star.dim_value(indicators, housing, _units(d), units)
-    return star.housing_values(housing, units).join(values, ["value", "unit"]).select("region_id", "date", "value_key")
+    house_units = lookups.housing_units(d.spark)
+    values = star.dim_value(indicators, housing, units(d), house_units)
+    return star.housing_values(housing, house_units).join(values, ["value", "unit"]).select("region_id", "date", "value_key")
 
 
 @query("jn04_six_columns", """
@@ -404,21 +405,12 @@ def _(d):
 
 def _silver(d):
     """Clean indicators, housing and bars of the fixtures."""
-    return (
-        clean.clean_indicators(d.fx_raw_indicators, d.fx_meta, newest="load_id"),
-        clean.clean_housing(d.fx_housing, d.fx_housing_indicators, d.fx_regions, HOUSING_CODES, "1996-01-01"),
-        clean.clean_bars(d.fx_raw_bars, SYMBOLS, newest="load_id"),
-    )
-
-
-def _units(d):
-    from registry.fixtures import EXTRA_UNITS
-
-    return lookups.series_units(d.spark, EXTRA_UNITS)
+    tables = silver(d)
+    return tables["indicators"], tables["housing"], tables["bars"]
 
 
 def prices(d):
-    return metrics.prices_of_bars(clean.clean_bars(d.fx_raw_bars, SYMBOLS, newest="load_id"))
+    return metrics.prices_of_bars(silver(d)["bars"])
 
 
 def rounded(df, digits=6):
@@ -533,7 +525,7 @@ _SERIES = ["country_code", "country_name", "series_id", "indicator_name", "unit"
 
 
 def figures(d):
-    return star.indicator_values(_silver(d)[0], _units(d)).select(
+    return star.indicator_values(_silver(d)[0], units(d)).select(
         "series_id", "indicator_name", "indicator_description", "country_code", "country_name", "year", "value", "unit"
     )
 

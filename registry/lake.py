@@ -30,18 +30,22 @@ def clean_tables(d: Data) -> dict:
     }
 
 
-def _layer(d: Data, layer: str, build, by_year: tuple[str, ...]) -> dict:
+def _layer(d: Data, layer: str, build, by_year: dict[str, list[str]]) -> dict:
+    """``by_year``: the tables partitioned by year, with their order within a file."""
     key = (d.spark.sparkContext.applicationId, d.sf_dir, layer)
     if key not in _written:
         root = scratch_path(d.spark, layer)
         for name, df in build().items():
-            write_table(df, f"{root}/{name}", partition_by=["year"] if name in by_year else None)
+            write_table(
+                df, f"{root}/{name}", partition_by=["year"] if name in by_year else None,
+                sort_by=by_year.get(name, []),
+            )
             _written.setdefault(key, {})[name] = f"{root}/{name}"
     return {name: d.spark.read.parquet(path) for name, path in _written[key].items()}
 
 
 def silver(d: Data) -> dict:
-    return _layer(d, "clean", lambda: clean_tables(d), ("indicators", "bars"))
+    return _layer(d, "clean", lambda: clean_tables(d), {"indicators": [], "bars": []})
 
 
 def gold(d: Data) -> dict:
@@ -49,5 +53,5 @@ def gold(d: Data) -> dict:
     return _layer(
         d, "star",
         lambda: star.build_star(s["indicators"], s["meta"], s["housing"], s["bars"], units(d)),
-        ("fact_value",),
+        {"fact_value": ["asset_key", "realestate_indicator_key", "socioeconomical_indicator_key", "date_key"]},
     )
