@@ -8,10 +8,10 @@
     lists       the chunk is in one of these index lists (see ``ivf``)
 
 No pair of request and chunk becomes a row.  Chunks stay where they are scanned;
-each task scores Arrow batches against all requests with one matrix product per
-distinct filter and keeps only the best k per request, so what is shuffled is k
+each task scores Arrow batches against all requests with matrix products, one per
+distinct filter, and keeps only the best k per request, so what is shuffled is k
 rows per request and task.  Requests are shipped to the tasks only while their
-number is under ``request_limit``; beyond it both sides are split in blocks that
+number is under ``request_limit`` and their size under REQUEST_BYTES; beyond that both sides are split in blocks that
 meet by an equi-join on the block numbers.
 
 Similarities are rounded to nine places, and equal ones ordered by id, so results
@@ -37,6 +37,7 @@ FAMILIES = {
 }
 DIGITS = 9
 REQUEST_LIMIT = 4096
+REQUEST_BYTES = 256 << 20
 BUCKET_ROWS = 50_000
 TILE = 256  # requests scored at once: bounds the score matrix of a batch
 
@@ -83,28 +84,46 @@ class _Scorer:
         self.groups = groups
         self.best = [(np.empty(0), np.empty(0, dtype=np.int64)) for _ in self.ids]
 
-    def _mask(self, batch, key) -> np.ndarray:
-        family, codes, countries, years, lists = key
-        mask = np.ones(batch.num_rows, dtype=bool)
+    @staticmethod
+    def _tests(batch):
+        """A function from filter key to mask that computes each condition once per batch."""
+        done: dict = {}
 
-        def keep(test):
-            mask[:] &= pc.fill_null(test, False).to_numpy(zero_copy_only=False)
+        def once(key, compute) -> np.ndarray:
+            if key not in done:
+                done[key] = pc.fill_null(compute(), False).to_numpy(zero_copy_only=False)
+            return done[key]
 
-        if family is not None:
-            column = batch.column(FAMILIES[family])
-            keep(pc.is_valid(column) if codes is None else pc.is_in(column, pa.array(sorted(codes), pa.string())))
-        if years is not None:
+        def among(column, values, kind):
+            return pc.is_in(batch.column(column), pa.array(sorted(values), kind))
+
+        def between(first, last):
             column = batch.column("year_key")
-            keep(pc.and_(pc.greater_equal(column, years[0]), pc.less_equal(column, years[1])))
-        if lists is not None:
-            keep(pc.is_in(batch.column("list_id"), pa.array(sorted(lists), pa.int32())))
-        if countries is not None:
-            lowered = pc.utf8_lower(batch.column("text"))
-            found = np.zeros(batch.num_rows, dtype=bool)
-            for term in countries:
-                test = pc.fill_null(pc.match_substring(lowered, term), False)
-                found |= test.to_numpy(zero_copy_only=False)
-            mask &= found
+            return pc.and_(pc.greater_equal(column, first), pc.less_equal(column, last))
+
+        def mentions(term):
+            if "text" not in done:
+                done["text"] = pc.utf8_lower(batch.column("text"))
+            return pc.match_substring(done["text"], term)
+
+        def mask(key) -> np.ndarray:
+            family, codes, countries, years, lists = key
+            kept = np.ones(batch.num_rows, dtype=bool)
+            if family is not None:
+                name = FAMILIES[family]
+                kept &= once(
+                    (name, codes),
+                    lambda: pc.is_valid(batch.column(name)) if codes is None else among(name, codes, pa.string()),
+                )
+            if years is not None:
+                kept &= once(("years", years), lambda: between(*years))
+            if lists is not None:
+                kept &= once(("lists", lists), lambda: among("list_id", lists, pa.int32()))
+            if countries is not None:
+                found = [once(("term", term), lambda term=term: mentions(term)) for term in countries]
+                kept &= np.logical_or.reduce(found)
+            return kept
+
         return mask
 
     def add(self, batch) -> None:
@@ -114,8 +133,9 @@ class _Scorer:
         ids = batch.column("id").to_numpy(zero_copy_only=False) if isinstance(batch, pa.RecordBatch) \
             else batch.column("id").to_numpy()
         usable = ~np.isnan(vectors).any(axis=1)
+        mask_of = self._tests(batch)
         for key, rows in self.groups.items():
-            mask = self._mask(batch, key) & usable
+            mask = mask_of(key) & usable
             if not mask.any():
                 continue
             matching, found = vectors[mask], ids[mask]
@@ -173,9 +193,8 @@ def search(
         chunks = chunks.filter(where)
     # One row over the limit tells that there are more; never more than that is fetched.
     head = wanted.limit(request_limit + 1).toArrow()
-    has_countries = head.num_rows > request_limit or any(
-        v.as_py() for v in head.column("countries")
-    )
+    ships = head.num_rows <= request_limit and head.nbytes <= REQUEST_BYTES
+    has_countries = not ships or any(v.as_py() for v in head.column("countries"))
     has_lists = "list_id" in chunks.columns
     # The long text is only read when some request filters on it.
     columns = ["id", "embedding", "year_key", *FAMILIES.values()]
@@ -184,7 +203,7 @@ def search(
     scanned = chunks.filter(F.col("embedding").isNotNull()).select(*columns)
     types = dict(requests.dtypes), dict(chunks.dtypes)
     schema = _HITS.format(rid=types[0]["request_id"], cid=types[1]["id"])
-    if head.num_rows <= request_limit:
+    if ships:
         partial = _scan(scanned, head, schema)
     else:
         partial = _blocks(scanned, wanted, request_limit, bucket_rows, schema)
@@ -222,7 +241,7 @@ def _blocks(
     """Too many requests to ship: blocks of requests meet buckets of chunks."""
     spark = chunks.sparkSession
     out = _arrow_schema(schema, spark)
-    blocks = -(-2 * requests.count() // request_limit)
+    blocks = max(2, -(-2 * requests.count() // request_limit))
     buckets = max(1, -(-chunks.count() // bucket_rows))
 
     def number(key: str, n: int) -> Column:

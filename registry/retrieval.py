@@ -21,7 +21,8 @@ with words as (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+'
 places as (select doc_id, cast(cast(concat('0x', substr(md5(word), 1, 8)) as ubigint) % 64 as int) as place, count(*) as n from words group by 1, 2)
 select doc_id, place, round(cast(cast(n / sqrt(sum(n * n) over (partition by doc_id)) as float) as double), 6) as weight from places""")
 def _(d):
-    vectors = E.embed(d.documents.select("doc_id", "text")).select("doc_id", F.posexplode("embedding").alias("place", "w"))
+    spread = d.spark.sparkContext.defaultParallelism
+    vectors = E.embed(d.documents.select("doc_id", "text"), partitions=spread).select("doc_id", F.posexplode("embedding").alias("place", "w"))
     return vectors.filter(c("w") != 0).select("doc_id", "place", F.round(c("w").cast("double"), 6).alias("weight"))
 
 
