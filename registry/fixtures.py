@@ -103,6 +103,14 @@ select c.c_custkey as question_id,
                                    when 1 then concat(' from ', cast(2012 + c.c_custkey % 5 as varchar(4)), ' to ', cast(2018 + c.c_custkey % 4 as varchar(4)))
                                    else '' end, '?') as text
 from customer c join nation n on c.c_nationkey = n.n_nationkey""",
+    # One question per supplier about what the documents of these tables tell.
+    "fx_asked": """
+select s.s_suppkey as question_id,
+       concat(case s.s_suppkey % 3 when 0 then 'What was the average list price of homes in ' when 1 then 'Price reductions and inventory in '
+                                   else 'Annual days on market and list price versus price reductions in ' end,
+              case s.s_nationkey % 3 when 0 then 'Ohio' when 1 then 'Texas' else 'California' end,
+              ' in ', cast(1996 + s.s_suppkey % 4 as varchar(4)), '?') as text
+from supplier s""",
 }
 
 # Symbols and codes the fixtures use where the defaults name real ones.
@@ -281,25 +289,29 @@ def oracle(text: str) -> str:
 
 
 class Data:
-    """The given tables of one folder and the fixture views, as DataFrames."""
+    """The given tables of one folder and the fixture views, as DataFrames.
+
+    Only plans are kept between uses, never data.
+    """
+
+    _plans: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def sql(self, text: str) -> DataFrame:
-        """Spark SQL over the given tables and FX views."""
-        for name in TABLES:
-            if re.search(rf"\b{name}\b", text) or any(re.search(rf"\b{name}\b", FX.get(n, "")) for n in _needs(text)):
-                self.table(name).createOrReplaceTempView(name)
-        return self.spark.sql(oracle(text))
-
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.table(name)
-        if name in FX:
-            return self.sql(f"select * from {name}")
-        raise AttributeError(name)
+        if name not in TABLES and name not in FX:
+            raise AttributeError(name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in self._plans:
+            self._plans[key] = self._view(name) if name in FX else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._plans[key]
+
+    def _view(self, name: str) -> DataFrame:
+        """A fixture over the tables and fixtures its text names."""
+        used = [n for n in [*TABLES, *FX] if n != name and re.search(rf"\b(from|join) {n}\b", FX[name])]
+        text = FX[name]
+        for n in used:
+            text = re.sub(rf"\b(from|join) {n}\b", rf"\1 {{{n}}}", text)
+        return self.spark.sql(text, **{n: getattr(self, n) for n in used})

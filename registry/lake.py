@@ -12,7 +12,7 @@ from millrace.session import scratch_path
 from millrace.sinks.files import write_table
 from registry.fixtures import EXTRA_UNITS, HOUSING_CODES, HOUSING_SINCE, SYMBOLS, Data
 
-_written: dict[tuple[str, str, str], dict[str, str]] = {}
+_written: dict[tuple[str, str, str], dict] = {}
 
 
 def units(d: Data):
@@ -34,14 +34,15 @@ def _layer(d: Data, layer: str, build, by_year: dict[str, list[str]]) -> dict:
     """``by_year``: the tables partitioned by year, with their order within a file."""
     key = (d.spark.sparkContext.applicationId, d.sf_dir, layer)
     if key not in _written:
-        root = scratch_path(d.spark, layer)
+        root, tables = scratch_path(d.spark, layer), {}
         for name, df in build().items():
             write_table(
                 df, f"{root}/{name}", partition_by=["year"] if name in by_year else None,
                 sort_by=by_year.get(name, []),
             )
-            _written.setdefault(key, {})[name] = f"{root}/{name}"
-    return {name: d.spark.read.parquet(path) for name, path in _written[key].items()}
+            tables[name] = d.spark.read.parquet(f"{root}/{name}")
+        _written[key] = tables
+    return dict(_written[key])
 
 
 def silver(d: Data) -> dict:

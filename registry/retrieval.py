@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from millrace import lookups
 from millrace.operators import embed as E, ivf
 from millrace.operators.search import search
-from millrace.plans import retrieve as R
+from millrace.plans import documents as D, prices as P, retrieve as R
 from millrace.session import scratch_path
 from millrace.sinks.files import write_table
 from registry.book import query
 from registry.docs import KIND_COUNTS, corpus
+from registry.lake import gold
 
 c = F.col
 
@@ -220,6 +221,29 @@ def _(d):
     return R.context(R.rerank(_asked(d), _hits(d), 5))
 
 
+@query("vec13_contexts", """
+select question_id, replace(replace(replace(text, 'Ohio', 'Ohio (OH)'), 'Texas', 'Texas (TX)'), 'California', 'California (CA)') as text,
+ 20 as docs, true as in_year, true as numbered from fx_asked""")
+def _(d):
+    """Text in, context out, over documents built from the star schema."""
+    g = gold(d)
+    year = F.regexp_extract("text", r"(\\d{4})\\?", 1)
+    figures = P.housing_figures(g)
+    documents = D.stack(
+        D.doc_housing(D.recent_housing(figures, ["LRAW", "CRAW", "NRAW", "IRAW"], "1996-01-01", "1999-12-31")),
+        D.doc_housing_state_year(D.metrics.state_year(figures, "1996-01-01", "1999-12-31")),
+    )
+    path = scratch_path(d.spark, "corpus")
+    keyed = documents.withColumn("id", F.xxhash64("text", "region_key", "realestate_indicator_key", "year_key"))
+    write_table(E.embed(keyed), path)
+    answers = R.answer_contexts(d.fx_asked, d.spark.read.parquet(path), total_k=40, final_k=20)
+    return answers.select(
+        "question_id", "text", c("docs").cast("int").alias("docs"),
+        (F.size(F.regexp_extract_all("context", F.concat(F.lit("#[0-9]+ Real Estate, year "), year), 0)) == 20).alias("in_year"),
+        c("context").startswith("#1 Real Estate").alias("numbered"),
+    )
+
+
 @query("vec10_asset_keys", "select distinct asset_key from fx_chunks where asset_key is not null order by 1")
 def _(d):
     return R.asset_keys(d.fx_chunks)
