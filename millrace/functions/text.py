@@ -8,7 +8,7 @@ from millrace import lookups
 
 
 def fmt(value: Column, places: int = 2, thousands: bool = False) -> Column:
-    """Fixed-point text, rounded half-even on the exact binary value."""
+    """Fixed-point text, rounded half-even on the binary value; exact to 15 digits in all."""
     text = F.format_number(value.cast("double"), places)
     return text if thousands else F.replace(text, F.lit(","), F.lit(""))
 

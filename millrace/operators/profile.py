@@ -1,11 +1,15 @@
-"""Counts and summaries of tables, in one pass each."""
+"""Counts and summaries of tables."""
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.lookups import table
+from millrace.operators.keys import dense_key
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for each table."""
@@ -30,24 +34,50 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, stddev, min, max and quartiles of numeric columns, one row each."""
+def quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
+    """(prob, value): exact quantiles, interpolated between neighbours.
+
+    Values are sorted by range and numbered, then only the two neighbours of each
+    quantile are looked at; no task ever holds all values.
+    """
+    values = df.select(F.col(column).cast("double").alias("value")).filter("value is not null")
+    placed = dense_key(values, ["value"], "at", key_type="bigint")
+    n = placed.agg(F.max("at")).first()[0] or 0
+    picks = []
+    for prob in probs:
+        exact = (n - 1) * prob
+        low = math.floor(exact)
+        picks += [(prob, low + 1, 1 - (exact - low)), (prob, min(low + 2, n), exact - low)]
+    wanted = table(df.sparkSession, picks, "prob double, at bigint, share double")
+    near = placed.filter(F.col("at").isin([at for _, at, _ in picks])).join(wanted, "at")
+    return near.groupBy("prob").agg(F.sum(F.col("value") * F.col("share")).alias("value"))
+
+
+def summary(df: DataFrame, columns: list[str], quartiles: bool = True) -> DataFrame:
+    """count, mean, stddev, min, max and (exact) quartiles of numeric columns, one row each."""
     stats = df.agg(*[
         F.struct(
             F.count(c).alias("count"), F.avg(F.col(c).cast("double")).alias("mean"),
             F.stddev(F.col(c).cast("double")).alias("stddev"),
-            F.min(F.col(c).cast("double")).alias("min"),
-            F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], 10000).alias("quartiles"),
-            F.max(F.col(c).cast("double")).alias("max"),
+            F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"),
         ).alias(c) for c in columns
     ])
     flat = [
         F.struct(
             F.lit(c).alias("column_name"),
-            *[F.col(f"`{c}`.{s}").alias(s) for s in ("count", "mean", "stddev", "min", "quartiles", "max")],
+            *[F.col(f"`{c}`.{s}").alias(s) for s in ("count", "mean", "stddev", "min", "max")],
         ) for c in columns
     ]
-    return stats.select(F.inline(F.array(*flat)))
+    rows = stats.select(F.inline(F.array(*flat)))
+    if not quartiles:
+        return rows
+    at = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    parts = [
+        quantiles(df, c, list(at.values())).groupBy(F.lit(c).alias("column_name")).agg(*[
+            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for name, p in at.items()
+        ]) for c in columns
+    ]
+    return rows.join(reduce(DataFrame.unionByName, parts), "column_name", "left")
 
 
 def composition(hits: DataFrame, by: list[str]) -> DataFrame:

@@ -194,7 +194,8 @@ def search(
     # One row over the limit tells that there are more; never more than that is fetched.
     head = wanted.limit(request_limit + 1).toArrow()
     ships = head.num_rows <= request_limit and head.nbytes <= REQUEST_BYTES
-    has_countries = not ships or any(v.as_py() for v in head.column("countries"))
+    some = head if ships else wanted.filter(F.size("countries") > 0).limit(1).toArrow()
+    has_countries = any(v.as_py() for v in some.column("countries"))
     has_lists = "list_id" in chunks.columns
     # The long text is only read when some request filters on it.
     columns = ["id", "embedding", "year_key", *FAMILIES.values()]

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of plans that nobody holds any more are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

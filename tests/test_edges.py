@@ -1,8 +1,10 @@
 """Hand-made tables for what the given tables do not contain."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,29 @@ def test_number_text_equals_python(spark):
             assert r.mag == f"{r.x:,.2f}"
 
 
+def test_random_number_text_equals_python(spark):
+    rng = random.Random(4)
+    numbers = [rng.uniform(-1, 1) * 10 ** rng.randint(-3, 11) for _ in range(3000)]
+    numbers += [round(rng.uniform(0, 1000), 3) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double").select(
+        "x", X.fmt(c("x")).alias("two"), X.fmt(c("x"), 0, True).alias("whole"), X.fmt(c("x"), 3).alias("three")
+    )
+    for r in df.collect():
+        assert (r.two, r.whole, r.three) == (f"{r.x:.2f}", f"{r.x:,.0f}", f"{r.x:.3f}")
+
+
+def test_exact_quartiles(spark):
+    from millrace.operators.profile import summary
+
+    for numbers in ([3.0], [1.0, 2.0], [5.0, 1.0, 1.0, 2.0, 8.0, 9.5, 1.0], [float(i % 17) for i in range(1000)]):
+        df = spark.createDataFrame([(x,) for x in numbers] + [(None,)], "x double").repartition(3)
+        r = summary(df, ["x"]).first()
+        assert r["count"] == len(numbers)
+        assert (r.q25, r.q50, r.q75) == pytest.approx(tuple(np.percentile(numbers, [25, 50, 75])))
+    r = summary(spark.createDataFrame([(None,)], "x double"), ["x"]).first()
+    assert r["count"] == 0 and r.q50 is None
+
+
 def test_units_and_nulls(spark):
     df = spark.createDataFrame(
         [(None, "DAYS"), (2.5, "DAYS"), (-3.0, "USD_CURRENT"), (1234.5, "UNITS"), (7.0, "PERCENTAGE"), (1.0, None)], "v double, u string"
