@@ -17,8 +17,8 @@ def dense_key(
     Same result as ``row_number().over(Window.orderBy(...))``, but the sort is
     distributed: rows are range-partitioned, sorted within each partition and given
     partition-local positions; only one count per partition is summed up centrally.
-    Range bounds are sampled, so the positioned rows are checkpointed: recomputing
-    a lost partition against other bounds would renumber it.
+    Range bounds are sampled, so the positioned rows are written to the shared folder:
+    recomputing a lost partition against other bounds would renumber it.
 
     The star schema's keys are int; more than 2^31 rows raise an error rather than
     wrap around, and need ``key_type="bigint"``.

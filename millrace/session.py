@@ -16,8 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Checkpoints of plans that nobody holds any more are removed.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -55,7 +53,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def stable(df):
     """Materialise ``df`` so that later stages never recompute it differently.
 
-    A reliable checkpoint: it survives the loss of executors.
+    A table written to the shared folder: it survives the loss of executors, is
+    computed once (a checkpoint computes twice), and its size is known to the
+    optimizer from then on.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
