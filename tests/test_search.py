@@ -163,3 +163,19 @@ def test_rerank_boosts_order_only(spark):
     for r in R.rerank(q, hits, 2).orderBy("question_id", "rank").collect():
         got.setdefault(r.question_id, []).append((r.id, r.similarity))
     assert got == {0: [(1, 0.70), (2, 0.74)], 1: [(5, 0.70), (4, 0.70)]}
+
+
+def test_worker_code_runs_without_the_package(tmp_path):
+    """Executors unpickle tasks in a place where the package is not installed."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read())(['a b']).shape)"],
+        input=cloudpickle.dumps(E.HashingEmbedder()), capture_output=True, cwd=tmp_path, env=env, check=True,
+    )
+    assert done.stdout.strip() == b"(1, 64)"
