@@ -12,19 +12,29 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.vectors import unit_length
-from millrace.operators.search import search
+from millrace.operators.search import search_lists
 from millrace.sinks.files import write_table
 
 
 def build_ivf(
     chunks: DataFrame, path: str, lists: int = 100, iterations: int = 10, seed: int = 7,
-    train: DataFrame | None = None,
+    train: DataFrame | None = None, centroids: DataFrame | None = None,
 ) -> None:
     """Cluster the vectors by direction and write ``<path>/centroids`` and ``<path>/lists``.
 
-    Centroids may be fitted on ``train`` (a part of the data); every chunk is assigned.
+    Centroids may be fitted on ``train`` (a part of the data), or given as a small table
+    ``centroids(list_id, centroid)``; then a chunk goes to the list of the largest cosine,
+    equal ones to the smallest list_id.  Every chunk with a vector other than zero is
+    assigned.  ``lists`` is fixed by the caller and does not depend on the data.
     """
     spark = chunks.sparkSession
+    if centroids is not None:
+        centroids.selectExpr("cast(list_id as int) as list_id", "cast(centroid as array<double>) as centroid").write.mode("overwrite").parquet(f"{path}/centroids")
+        centers, ids = _centroids(spark, path)
+        usable = chunks.filter(unit_length(F.col("embedding")).isNotNull())
+        assigned = usable.withColumn("list_id", nearest_lists(F.col("embedding"), centers, ids, 1)[0])
+        write_table(assigned, f"{path}/lists", partition_by=["list_id"])
+        return
 
     def features(df: DataFrame) -> DataFrame:
         return df.withColumn("_unit", array_to_vector(unit_length(F.col("embedding")))).filter("_unit is not null")
@@ -43,12 +53,20 @@ def build_ivf(
     write_table(assigned, f"{path}/lists", partition_by=["list_id"])
 
 
+def _centroids(spark: SparkSession, path: str) -> tuple[np.ndarray, np.ndarray]:
+    # As many rows as the index has lists, a number fixed when it was built.
+    rows = spark.read.parquet(f"{path}/centroids").orderBy("list_id").collect()
+    return np.array([r.centroid for r in rows]), np.array([r.list_id for r in rows])
+
+
 def nearest_lists(vector: Column, centroids: np.ndarray, ids: np.ndarray, probes: int) -> Column:
     unit = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-300)
 
     @F.pandas_udf("array<int>")
     def pick(vectors: pd.Series) -> pd.Series:
-        scores = np.stack(vectors.to_numpy()).astype(np.float64) @ unit.T
+        rows = np.stack(vectors.to_numpy()).astype(np.float64)
+        # Rounded like similarities, so that equal centroids tie whatever the order of summation.
+        scores = np.round((rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)) @ unit.T, 9)
         order = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
         return pd.Series([ids[row].astype(np.int32) for row in order], dtype=object)
 
@@ -57,10 +75,9 @@ def nearest_lists(vector: Column, centroids: np.ndarray, ids: np.ndarray, probes
 
 def ivf_search(spark: SparkSession, requests: DataFrame, path: str, probes: int = 10) -> DataFrame:
     """As ``search``, over the ``probes`` nearest lists of each request only."""
-    # As many rows as the index has lists, a number fixed when it was built.
-    rows = spark.read.parquet(f"{path}/centroids").orderBy("list_id").collect()
-    centroids, ids = np.array([r.centroid for r in rows]), np.array([r.list_id for r in rows])
-    probing = requests.withColumn("lists", nearest_lists(F.col("vector"), centroids, ids, probes))
-    needed = [r.list_id for r in probing.select(F.explode("lists").alias("list_id")).distinct().collect()]
-    index = spark.read.parquet(f"{path}/lists")
-    return search(probing, index, where=F.col("list_id").isin(needed))
+    centroids, ids = _centroids(spark, path)
+    probing = requests.withColumn("list_id", F.explode(nearest_lists(F.col("vector"), centroids, ids, probes)))
+    # At most as many as the index has lists; lists that nobody asks for are not read.
+    needed = [r.list_id for r in probing.select("list_id").distinct().collect()]
+    index = spark.read.parquet(f"{path}/lists").filter(F.col("list_id").isin(needed))
+    return search_lists(index, probing)

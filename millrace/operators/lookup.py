@@ -27,12 +27,13 @@ def expand_codes(
     """(id, position, code): the codes of an array of keywords, in keyword order.
 
     Unknown keywords give nothing.  With ``distinct`` each code keeps its first place.
+    The position holds the keyword's place in its upper 32 bits and the code's in the lower.
     """
     look = lookup.select(F.col("keyword").alias("_kw"), F.col("codes").alias("_codes"))
     words = df.select(id_col, F.posexplode(keywords_col).alias("_kpos", "_word"))
     hits = words.join(look, F.lower(F.trim("_word")) == F.col("_kw"))
     codes = hits.select(id_col, "_kpos", F.posexplode("_codes").alias("_cpos", "code"))
-    place = (F.col("_kpos") * F.lit(1000) + F.col("_cpos")).alias("position")
+    place = (F.shiftleft(F.col("_kpos").cast("bigint"), 32) + F.col("_cpos")).alias("position")
     placed = codes.select(id_col, place, "code")
     if distinct:
         placed = placed.groupBy(id_col, "code").agg(F.min("position").alias("position"))

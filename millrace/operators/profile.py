@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millrace.lookups import table
-from millrace.operators.keys import dense_key
+from millrace.session import stable
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -37,19 +37,29 @@ def null_counts(df: DataFrame) -> DataFrame:
 def quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
     """(prob, value): exact quantiles, interpolated between neighbours.
 
-    Values are sorted by range and numbered, then only the two neighbours of each
-    quantile are looked at; no task ever holds all values.
+    Equal values are counted first, so a value that most rows share is one row from
+    there on; distinct values are sorted by range and their counts summed up along it.
+    Then only the two neighbours of each quantile are looked at.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).filter("value is not null")
-    placed = dense_key(values, ["value"], "at", key_type="bigint")
-    n = placed.agg(F.max("at")).first()[0] or 0
+    counts = df.select(F.col(column).cast("double").alias("value")).filter("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = stable(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()))
+    # One row per range; within a range only its own distinct values are summed.
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("size"))
+    ahead = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select("part", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("offset"))
+    inside = W.partitionBy("part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    placed = ranged.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(offsets), "part")
+    placed = placed.select("value", "n", (F.col("offset") + F.col("upto")).alias("last"))
+    n = counts.agg(F.sum("n")).first()[0] or 0
     picks = []
     for prob in probs:
         exact = (n - 1) * prob
         low = math.floor(exact)
         picks += [(prob, low + 1, 1 - (exact - low)), (prob, min(low + 2, n), exact - low)]
     wanted = table(df.sparkSession, picks, "prob double, at bigint, share double")
-    near = placed.filter(F.col("at").isin([at for _, at, _ in picks])).join(wanted, "at")
+    # Two rows per quantile, so every value meets a handful of bounds at most.
+    holds = (F.col("at") <= F.col("last")) & (F.col("at") > F.col("last") - F.col("n"))
+    near = placed.join(F.broadcast(wanted), holds)
     return near.groupBy("prob").agg(F.sum(F.col("value") * F.col("share")).alias("value"))
 
 

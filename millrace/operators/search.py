@@ -236,6 +236,39 @@ def _scan(chunks: DataFrame, requests: pa.Table, schema: str) -> DataFrame:
     return chunks.mapInArrow(score, schema)
 
 
+def search_lists(index: DataFrame, probes: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """As ``search``, but every request meets only the chunks of its own lists.
+
+    ``probes`` are requests with one ``list_id`` a row.  Requests and chunks meet by an
+    equi-join on the list; a list of more than ``bucket_rows`` chunks is split, so a hot
+    list is many tasks.
+    """
+    spark = index.sparkSession
+    named = ["request_id", "vector", "k", *[c for c in _OPTIONAL if c != "lists"]]
+    # Carried through as the one list of the row, then cleared: the join has applied it.
+    wanted = _prepare(probes.withColumn("lists", F.array("list_id"))).select(*named, F.col("lists")[0].alias("list_id"))
+    wanted = wanted.withColumn("lists", F.lit(None).cast("array<int>"))
+    columns = ["id", "embedding", "year_key", "text", *FAMILIES.values(), "list_id"]
+    scanned = index.filter(F.col("embedding").isNotNull()).select(*columns)
+    types = dict(probes.dtypes), dict(index.dtypes)
+    schema = _HITS.format(rid=types[0]["request_id"], cid=types[1]["id"])
+    out = _arrow_schema(schema, spark)
+    sizes = scanned.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("_parts"))
+    left = scanned.join(sizes, "list_id").withColumn("_bucket", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")).drop("_parts")
+    right = wanted.join(sizes, "list_id").withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+
+    def score(block: pa.Table, some: pa.Table) -> pa.Table:
+        scorer = _Scorer(some)
+        for batch in block.to_batches(max_chunksize=10_000):
+            scorer.add(batch)
+        return scorer.result(out)
+
+    meet = ["list_id", "_bucket"]
+    partial = left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInArrow(score, schema)
+    best_first = [F.desc("similarity"), F.asc("id")]
+    return top_per_key(partial, ["request_id"], best_first, "k").select("request_id", "id", "similarity", "rank")
+
+
 def _blocks(
     chunks: DataFrame, requests: DataFrame, request_limit: int, bucket_rows: int, schema: str
 ) -> DataFrame:

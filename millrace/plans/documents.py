@@ -205,16 +205,15 @@ def location_phrase() -> Column:
 
 
 def recent_housing(
-    figures: DataFrame, codes: list[str], first: str, last: str, limit: int | None = None
+    figures: DataFrame, codes: list[str] | None = None, first: str | None = None, last: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Housing figures of some indicators and dates, newest first within a region.
+    """Housing figures of some indicators and dates (default all), newest first within a region.
 
     With a ``limit`` the order is total, so the same rows are kept every time.
     """
-    kept = figures.filter(
-        F.col("realestate_indicator_key").isin(codes)
-        & F.col("date_key").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    )
+    kept = figures if codes is None else figures.filter(F.col("realestate_indicator_key").isin(list(codes)))
+    kept = metrics.in_range(kept, first, last)
     if limit is None:
         return kept
     order = ["region_key", F.desc("year"), F.desc("month_number"), F.desc("date_key"),
@@ -254,12 +253,15 @@ def doc_housing_state_year(stats: DataFrame) -> DataFrame:
 
 def corpus(
     prices: DataFrame, indicators: DataFrame, housing: DataFrame,
-    first: str = "2018-01-01", last: str = "2021-12-31", codes: list[str] = ("LRAW", "CRAW"),
+    first: str | None = None, last: str | None = None, codes: list[str] | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """All documents, each with an id that depends only on its content."""
+    """All documents, each with an id that depends only on its content.
+
+    ``first``, ``last`` and ``codes`` narrow the housing figures; by default all are told.
+    """
     documents = stack(
-        doc_housing(recent_housing(housing, list(codes), first, last, limit)),
+        doc_housing(recent_housing(housing, codes, first, last, limit)),
         doc_housing_state_year(metrics.state_year(housing, first, last)),
         doc_asset_day(prices),
         doc_indicator_year(indicators),

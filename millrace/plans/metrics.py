@@ -131,11 +131,19 @@ def _figures() -> list[Column]:
 _STATE = ["realestate_indicator_key", "indicator_name", "indicator_description", "state_name", "state_code", "year"]
 
 
-def state_year(figures: DataFrame, first: str, last: str, min_points: int = 3) -> DataFrame:
+def in_range(figures: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Figures dated from ``first`` to ``last``; a bound that is None does not cut."""
+    if first is not None:
+        figures = figures.filter(F.col("date_key") >= F.lit(first).cast("date"))
+    if last is not None:
+        figures = figures.filter(F.col("date_key") <= F.lit(last).cast("date"))
+    return figures
+
+
+def state_year(figures: DataFrame, first: str | None = None, last: str | None = None, min_points: int = 3) -> DataFrame:
     """Housing figures per indicator, state and year within a range of dates."""
-    in_range = F.col("date_key").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
     return (
-        figures.filter(in_range & F.col("state_code").isNotNull())
+        in_range(figures, first, last).filter(F.col("state_code").isNotNull())
         .groupBy(*_STATE, "unit").agg(*_figures())
         .filter(F.col("data_points") >= min_points)
     )

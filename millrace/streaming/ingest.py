@@ -51,16 +51,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None) -> None:
     """Merge a batch of bars into the clean table; only the years it touches are rewritten.
 
-    Running the same batch again changes nothing, so a retried batch is harmless.
+    Running the same batch again changes nothing, so a retried batch is harmless.  Bars
+    without a readable date are kept in the partition of the NULL year, as ``clean_bars`` does.
     """
     spark = batch.sparkSession
-    clean = clean_bars(batch, symbols, newest="ingestion_timestamp").filter(F.col("year").isNotNull())
+    clean = clean_bars(batch, symbols, newest="ingestion_timestamp")
     if _exists(spark, path):
         # One row per calendar year in the batch.
         years = [r.year for r in clean.select("year").distinct().collect()]
         if not years:
             return
-        old = spark.read.parquet(path).filter(F.col("year").isin(years))
+        among = F.col("year").isin([y for y in years if y is not None])
+        old = spark.read.parquet(path).filter(among | F.col("year").isNull() if None in years else among)
         both = old.unionByName(clean.select(*old.columns))
         clean = dedupe(both, ["symbol", "date"], [F.col("ingestion_timestamp").desc_nulls_last()])
     write_table(clean, path, "overwrite", ["year"], touched_only=True)

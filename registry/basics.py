@@ -389,7 +389,7 @@ def _(d):
 with asked as (select c_custkey as question_id, case c_custkey % 4 when 0 then ['Rent ', 'home price', 'rents'] when 1 then ['condo', 'nothing'] when 2 then ['Home Values', 'condos'] else ['x'] end as keywords from customer),
 words as (select question_id, unnest(keywords) as word, unnest(range(len(keywords))) as kpos from asked),
 codes as (select question_id, kpos, unnest(string_split(k.codes, ' ')) as code, unnest(range(len(string_split(k.codes, ' ')))) as cpos from words join lk_housing k on lower(trim(word)) = k.keyword)
-select question_id, cast(min(kpos * 1000 + cpos) as int) as position, code from codes group by question_id, code""")
+select question_id, min(kpos * 4294967296 + cpos) as position, code from codes group by question_id, code""")
 def _(d):
     words = lambda *w: F.array(*[F.lit(x) for x in w])
     kind = F.col("c_custkey") % 4

@@ -44,10 +44,11 @@ def _(d):
 
 @query("str03_stream_dedupe", "select distinct symbol, date from fx_raw_bars")
 def _(d):
+    """Several batches in any order of time: the delay covers the disorder of the input."""
     src, name = scratch_path(d.spark, "raw_bars"), f"once_{uuid.uuid4().hex}"
-    write_table(d.fx_raw_bars, src)
-    stream = d.spark.readStream.schema(d.fx_raw_bars.schema).parquet(src).withColumn("time", c("date").cast("timestamp"))
-    once = B.stream_dedupe(stream, ["symbol", "date"], "time", "4 days").select("symbol", "date")
+    d.fx_raw_bars.repartition(4).write.parquet(src)
+    stream = d.spark.readStream.schema(d.fx_raw_bars.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    once = B.stream_dedupe(stream.withColumn("time", c("date").cast("timestamp")), ["symbol", "date"], "time", "4000 days").select("symbol", "date")
     dst = scratch_path(d.spark, name)
     once.writeStream.format("parquet").option("path", dst).option("checkpointLocation", f"{dst}-checkpoint").trigger(
         availableNow=True

@@ -83,10 +83,14 @@ def test_upsert_touches_only_its_years(spark, tmp_path):
     load = lambda *rows: spark.createDataFrame([(s, "STOCK", d, 2.0, 1.0, p, 5, at(day)) for s, d, p, day in rows], ddl)
     I.upsert_by_year(load(("AAPL", "2023-05-01", 1.0, 1), ("AAPL", "2024-05-01", 1.0, 1)), path)
     before = set(os.listdir(f"{path}/year=2023"))
-    second = load(("AAPL", "2024-05-01", 2.0, 2), ("MSFT", "2024-05-02", 3.0, 2), ("AAPL", "bad", 3.0, 2))
+    second = load(("AAPL", "2024-05-01", 2.0, 2), ("MSFT", "2024-05-02", 3.0, 2))
     for _ in range(2):  # a retried batch changes nothing
         I.upsert_by_year(second, path)
     I.upsert_by_year(load(("AAPL", "2024-05-01", 9.0, 1)), path)  # older than what is there
     got = sorted((r.symbol, r.date, r["last"], r.year) for r in spark.read.parquet(path).collect())
     assert got == [("AAPL", "2023-05-01", 1.0, 2023), ("AAPL", "2024-05-01", 2.0, 2024), ("MSFT", "2024-05-02", 3.0, 2024)]
     assert set(os.listdir(f"{path}/year=2023")) == before
+    for _ in range(2):  # a bar without a readable date stays, once
+        I.upsert_by_year(load(("AAPL", "bad", 3.0, 2)), path)
+    undated = [(r.symbol, r.date, r.year) for r in spark.read.parquet(path).filter("year is null").collect()]
+    assert undated == [("AAPL", "bad", None)] and spark.read.parquet(path).count() == 4
