@@ -21,7 +21,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.session import scratch_path
+from millrace.session import scratch_path, stable
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 8 << 20
@@ -64,7 +64,8 @@ def with_types(pages: DataFrame, html: str = "html", key: str = "page_id") -> Da
                         F.octet_length(body).cast("long").alias("payload_bytes"), F.sha2(body.cast("binary"), 256).alias("payload_digest"))
     narrow = pages.select(F.col(key).cast("long").alias("page_id"), body.alias("html")).filter(F.octet_length("html") >= REVISIT_BYTES)
     first = narrow.groupBy(F.sha2(F.col("html").cast("binary"), 256).alias("payload_digest")).agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    first = first.filter("n > 1 and first is not null").select("payload_digest", "first")
+    # Written, so that its measured size decides whether the pages have to be shuffled.
+    first = stable(first.filter("n > 1 and first is not null").select("payload_digest", "first"))
     rows = rows.join(first, "payload_digest", "left")
     again = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") != F.col("first"))) & (F.col("payload_bytes") >= REVISIT_BYTES)
     return rows.select("page_id", "url", "html", "payload_bytes", "payload_digest",
