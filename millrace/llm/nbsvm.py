@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.arrow import byte_set, chunks, grams, with_result, words_of
@@ -117,7 +118,7 @@ def solve(rows: list[np.ndarray], label: np.ndarray) -> Model:
     scale[(seen[0] == 1) & (seen[1] == 1)] = 0.0
     values = []
     for r in rows:
-        v = scale[r]
+        v = scale[r].astype(np.float32)
         length = np.sqrt(v @ v)
         values.append(v / length if length > 0 else v)
     pick = np.flatnonzero(learn)
@@ -149,8 +150,14 @@ def fit(rows: DataFrame, label: str = "label", text: str = "text", key: str = "d
                     [part.column(0), part.column(1), pa.ListArray.from_arrays(cuts, feature.astype(np.int32))], names=["key", "label", "feature"])
 
     kind = chosen.schema[key].dataType.simpleString()
-    got = chosen.mapInArrow(extract, f"key {kind}, label int, feature array<int>").toPandas().sort_values("key", kind="stable").drop_duplicates("key")
-    return solve([np.asarray(f, np.int64) for f in got["feature"]], got["label"].to_numpy(np.int64))
+    # Kept as one flat array of feature numbers; the lists below are views of it.
+    got = chosen.mapInArrow(extract, f"key {kind}, label int, feature array<int>").toArrow().combine_chunks()
+    order = pc.sort_indices(got["key"]).to_pylist()
+    keys, label = got["key"].to_pylist(), got["label"].to_pylist()
+    lists = got["feature"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    flat, cuts = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy(zero_copy_only=False)
+    first = [i for n, i in enumerate(order) if n == 0 or keys[i] != keys[order[n - 1]]]
+    return solve([flat[cuts[i]:cuts[i + 1]] for i in first], np.array([label[i] for i in first], np.int64))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", name: str = "quality", carry: list[str] | None = None, threshold: float = 0.3) -> DataFrame:
