@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -45,18 +47,42 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_owner: ContextVar[str | None] = ContextVar("millrace_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path under the shared folder, or in the folder of the scratch() around it."""
+    return os.path.join(_owner.get() or shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A folder for what the job inside writes by stable() and scratch_path(); it is deleted at the end.
+
+    Frames made inside read those tables, so write or collect them before the end.
+    """
+    path = scratch_path(spark, "job")
+    token = _owner.set(path)
+    try:
+        yield path
+    finally:
+        _owner.reset(token)
+        drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a path in whatever store holds it; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stable(df):
+def stable(df, path: str | None = None):
     """Materialise ``df`` so that later stages never recompute it differently.
 
-    A table written to the shared folder: it survives the loss of executors, is
-    computed once (a checkpoint computes twice), and its size is known to the
-    optimizer from then on.
+    A table written to the shared folder (or to ``path``): it survives the loss of
+    executors, is computed once (a checkpoint computes twice), and its size is known to
+    the optimizer from then on.
     """
-    path = scratch_path(df.sparkSession, "stable")
+    path = path or scratch_path(df.sparkSession, "stable")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
