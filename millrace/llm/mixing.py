@@ -9,8 +9,9 @@ several halvings at once; what reaches the driver is a handful of sums.
 The weights become token quotas.  A source runs through as many full passes as its quota
 holds, then through part of one more.  In every pass the source's blocks (a text belongs to
 one by hash, about ``BLOCK`` texts each) and the texts in a block are permuted by hash; the
-last pass stops before the text that would overrun the quota.  Running sums go over block
-totals first and inside single blocks then, so no task holds a source.
+last pass stops before the text that would overrun the quota.  Running sums go over the
+totals of runs of ``BLOCK`` blocks first, over the blocks of a run then, and inside single
+blocks last, so no task holds a source or all of its blocks.
 
 All of it is DataFrame expressions.
 """
@@ -94,9 +95,16 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     dealt = rows.join(plan, "src").withColumn("block", F.pmod(place, F.col("blocks")))
     # Tokens that stand before each block in the source's last, partial pass.
     small = docs.select(F.col(key).alias("key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"), token_count(F.col(text)).alias("n"))
-    totals = small.join(plan, "src").groupBy("src", F.pmod(place, F.col("blocks")).alias("block"), "full").agg(F.sum("n").alias("n"))
-    turn = Window.partitionBy("src").orderBy(_hash(F.lit(seed), F.col("full"), F.col("src"), F.col("block")), "block").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("src", "block", F.coalesce(F.sum("n").over(turn), F.lit(0)).alias("before"))
+    totals = small.join(plan, "src").groupBy("src", F.pmod(place, F.col("blocks")).alias("block"), "full", "blocks").agg(F.sum("n").alias("n"))
+    # Runs cut the order of the blocks' hashes into equal ranges, so the order over all is the same.
+    shuffled = _hash(F.lit(seed), F.col("full"), F.col("src"), F.col("block"))
+    run = F.floor(F.conv(F.substring("turn", 1, 8), 16, 10).cast("long") * F.ceil(F.col("blocks") / BLOCK) / F.lit(float(1 << 32)))
+    totals = stable(totals.withColumn("turn", shuffled).withColumn("run", run))
+    runs = Window.partitionBy("src").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = totals.groupBy("src", "run").agg(F.sum("n").alias("sum")).select("src", "run", F.coalesce(F.sum("sum").over(runs), F.lit(0)).alias("ahead"))
+    turn = Window.partitionBy("src", "run").orderBy("turn", "block").rowsBetween(Window.unboundedPreceding, -1)
+    within = totals.select("src", "block", "run", F.coalesce(F.sum("n").over(turn), F.lit(0)).alias("within"))
+    before = within.join(ahead, ["src", "run"]).select("src", "block", (F.col("ahead") + F.col("within")).alias("before"))
     inside = Window.partitionBy("src", "block").orderBy(_hash(F.lit(seed), F.col("full"), F.col("key")), "key", "n").rowsBetween(Window.unboundedPreceding, 0)
     ranked = dealt.join(before, ["src", "block"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
     passes = (F.col("full") + F.when(F.col("upto") <= F.col("rest"), 1).otherwise(0)).cast("int")
