@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import decontaminate, mixing, neardup, privacy, quality_rules
 from millrace.llm.shared import table
-from millrace.session import scratch_path
+from millrace.session import scratch, scratch_path
 
 ORACLE_SQL = None
 
@@ -48,10 +48,11 @@ STAGES = [("quality rules", rules), ("n-gram Jaccard join", near_copies), ("benc
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; what a stage made on its way is deleted then."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
