@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.lookups import table
 from millrace.session import stable
 
 
@@ -50,16 +49,16 @@ def quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
     inside = W.partitionBy("part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     placed = ranged.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(offsets), "part")
     placed = placed.select("value", "n", (F.col("offset") + F.col("upto")).alias("last"))
-    n = counts.agg(F.sum("n")).first()[0] or 0
+    n = ranged.agg(F.sum("n")).first()[0] or 0
     picks = []
     for prob in probs:
         exact = (n - 1) * prob
         low = math.floor(exact)
         picks += [(prob, low + 1, 1 - (exact - low)), (prob, min(low + 2, n), exact - low)]
-    wanted = table(df.sparkSession, picks, "prob double, at bigint, share double")
-    # Two rows per quantile, so every value meets a handful of bounds at most.
-    holds = (F.col("at") <= F.col("last")) & (F.col("at") > F.col("last") - F.col("n"))
-    near = placed.join(F.broadcast(wanted), holds)
+    # A handful of ranks, held in the expression: a map over the distinct values.
+    wanted = F.array(*[F.struct(F.lit(p).alias("prob"), F.lit(at).alias("at"), F.lit(share).alias("share")) for p, at, share in picks])
+    here = F.filter(wanted, lambda w: (w["at"] <= F.col("last")) & (w["at"] > F.col("last") - F.col("n")))
+    near = placed.select("value", F.inline(here))
     return near.groupBy("prob").agg(F.sum(F.col("value") * F.col("share")).alias("value"))
 
 

@@ -11,6 +11,7 @@ from millrace.functions.hashing import content_md5, hash_key
 from millrace.operators.keys import dense_key
 from millrace.operators.lookup import with_lookup
 from millrace.operators.rows import conform, dedupe, stack, stack_distinct
+from millrace.session import stable
 
 
 # -- dimensions ---------------------------------------------------------------
@@ -73,14 +74,16 @@ def housing_values(housing: DataFrame, units: DataFrame) -> DataFrame:
     return with_lookup(housing, F.col("indicator_id"), units, "indicator_id", "unit", "unit", "USD_CURRENT")
 
 
-def dim_value(indicators: DataFrame, housing: DataFrame, series_units: DataFrame, housing_units: DataFrame) -> DataFrame:
+def dim_value(
+    indicators: DataFrame, housing: DataFrame, series_units: DataFrame, housing_units: DataFrame, key_type: str = "int",
+) -> DataFrame:
     """Distinct (value, unit), numbered in the order of the pair's MD5."""
     distinct = stack_distinct(
         indicator_values(indicators, series_units).select("value", "unit"),
         housing_values(housing, housing_units).select("value", "unit"),
     )
     hashed = distinct.withColumn("value_hash", content_md5(F.col("value"), F.col("unit")))
-    return dense_key(hashed, ["value_hash"], "value_key").drop("value_hash")
+    return dense_key(hashed, ["value_hash"], "value_key", key_type=key_type).drop("value_hash")
 
 
 def dim_socioeconomical_indicator(meta: DataFrame) -> DataFrame:
@@ -103,14 +106,14 @@ def dim_asset(bars: DataFrame) -> DataFrame:
     return bars.select(F.col("symbol").alias("asset_key"), "type").distinct()
 
 
-def dim_asset_value(bars: DataFrame) -> DataFrame:
+def dim_asset_value(bars: DataFrame, key_type: str = "int") -> DataFrame:
     """Distinct bars, numbered in the order of all their columns."""
     values = bars.select(
         "symbol", "date_parsed", "high", "low",
         F.col("volume").cast(schemas.VALUE).alias("volume"), F.col("last").alias("close"),
     ).distinct()
     return dense_key(
-        values, ["symbol", "date_parsed", "high", "low", "close", "volume"], "cryptostock_value_key"
+        values, ["symbol", "date_parsed", "high", "low", "close", "volume"], "cryptostock_value_key", key_type=key_type
     )
 
 
@@ -164,34 +167,52 @@ def fact_asset(bars, asset_values, assets, times) -> DataFrame:
     )
 
 
-def fact_value(*facts: DataFrame) -> DataFrame:
+def fact_distinct_bars(asset_values, assets, times) -> DataFrame:
+    """``fact_asset`` of the very bars that ``asset_values`` was made from, without the join back.
+
+    NULL in any of the six columns drops the bar, as the join does.
+    """
+    return (
+        asset_values.dropna(subset=["symbol", "date_parsed", "high", "low", "volume", "close"])
+        .join(times.select("date_key"), F.col("date_parsed") == F.col("date_key"))
+        .join(assets.select("asset_key").distinct(), F.col("symbol") == F.col("asset_key"))
+        .select("cryptostock_value_key", "date_key", "asset_key")
+    )
+
+
+def fact_value(*facts: DataFrame, key_type: str = "int") -> DataFrame:
     """The sparse fact table: columns a source does not fill are typed NULLs."""
-    return conform(stack(*facts), schemas.FACT).withColumn("year", F.year("date_key"))
+    return conform(stack(*facts), schemas.fact(key_type)).withColumn("year", F.year("date_key"))
 
 
 # -- everything ---------------------------------------------------------------
 
-def build_star(indicators, meta, housing, bars, series_units=None) -> dict[str, DataFrame]:
-    """All tables of the star schema from the three clean tables."""
+def build_star(indicators, meta, housing, bars, series_units=None, key_type: str = "int") -> dict[str, DataFrame]:
+    """All tables of the star schema from the three clean tables.
+
+    Each dimension is written to the scratch folder once; the facts read those tables.
+    ``key_type`` is that of the dense keys: ``bigint`` for more than 2^31 values or bars.
+    """
     spark = bars.sparkSession
     units = series_units if series_units is not None else lookups.series_units(spark)
     house_units = lookups.housing_units(spark)
-    star = {
+    star = {name: stable(dim) for name, dim in {
         "dim_time": dim_time(indicators, housing, bars),
         "dim_country": dim_country(indicators),
         "dim_region": dim_region(housing, lookups.states(spark)),
-        "dim_value": dim_value(indicators, housing, units, house_units),
+        "dim_value": dim_value(indicators, housing, units, house_units, key_type),
         "dim_socioeconomical_indicator": dim_socioeconomical_indicator(meta),
         "dim_realestate_indicator": dim_realestate_indicator(housing, lookups.housing_descriptions(spark)),
         "dim_asset": dim_asset(bars),
-        "dim_cryptostock_value": dim_asset_value(bars),
-    }
+        "dim_cryptostock_value": dim_asset_value(bars, key_type),
+    }.items()}
     star["fact_value"] = fact_value(
         fact_indicator(indicators, units, star["dim_value"], star["dim_country"], star["dim_time"]),
         fact_housing(
             housing, house_units, star["dim_value"], star["dim_realestate_indicator"], star["dim_time"],
             star["dim_region"],
         ),
-        fact_asset(bars, star["dim_cryptostock_value"], star["dim_asset"], star["dim_time"]),
+        fact_distinct_bars(star["dim_cryptostock_value"], star["dim_asset"], star["dim_time"]),
+        key_type=key_type,
     )
     return star

@@ -80,6 +80,14 @@ FACT = T.StructType([
     T.StructField("asset_key", T.StringType()),
 ])
 
+
+def fact(key_type: str) -> T.StructType:
+    """``FACT`` with its two dense keys in the given type."""
+    kind = T.LongType() if key_type == "bigint" else T.IntegerType()
+    dense = ("value_key", "cryptostock_value_key")
+    return T.StructType([T.StructField(f.name, kind if f.name in dense else f.dataType) for f in FACT])
+
+
 # Exactly one of these column sets is filled in a fact row.
 FACT_FAMILIES = {
     "socioeconomic": ["socioeconomical_indicator_key"],

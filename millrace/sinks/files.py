@@ -1,9 +1,14 @@
-"""Writes.  Each is one atomic Spark job; readers see all of it or nothing."""
+"""Writes.
+
+A job to a new path is seen whole or not at all.  Overwriting in place is not atomic: a
+reader that comes while old files go may miss rows, so write a new path where that matters.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
 
+from pyspark.sql import DataFrame, functions as F
 
 
 def write_table(
@@ -56,14 +61,21 @@ SERVING = {
 
 
 def publish(tables: dict[str, DataFrame], path: str, views: bool = False) -> dict[str, DataFrame]:
-    """Write the serving copy of each table and return readers of what was written."""
-    out = {}
+    """Write the serving copy of each table to a new version folder and return readers of it.
+
+    All tables are of one version, and readers of an earlier one keep their files.  The
+    views are switched once everything is written.  Dense keys keep the wider type they
+    came with.  A table with a year beside its serving columns is partitioned by it.
+    """
+    version, out = f"{path}/version-{uuid.uuid4().hex}", {}
     for name, df in tables.items():
-        target = f"{path}/{name}"
-        with_casts(df, SERVING[name]).write.mode("overwrite").parquet(target)
-        out[name] = df.sparkSession.read.schema(
-            ", ".join(f"{c} {t}" for c, t in SERVING[name].items())
-        ).parquet(target)
+        wide = {c for c, t in df.dtypes if t == "bigint"}
+        types = {c: "bigint" if c in wide and t == "int" else t for c, t in SERVING[name].items()}
+        by = ["year"] if "year" in df.columns and "year" not in types else []
+        types |= {c: "int" for c in by}
+        write_table(with_casts(df, types), f"{version}/{name}", partition_by=by or None)
+        out[name] = df.sparkSession.read.schema(", ".join(f"{c} {t}" for c, t in types.items())).parquet(f"{version}/{name}")
+    for name in out:
         if views:
             out[name].createOrReplaceTempView(name)
     return out

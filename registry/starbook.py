@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from millrace import lookups, schemas
 from millrace.operators import quality
 from millrace.plans import clean, metrics, prices as P, star
+from millrace.session import scratch_path
+from millrace.sinks.files import SERVING, publish
 from registry.basics import _FIGURES, _STATE, rounded
 from registry.book import query
 from registry.fixtures import HOUSING_CODES, SYMBOLS
@@ -90,7 +92,7 @@ def _(d):
 @query("fct03_asset", "select * from o_fact_asset")
 def _(d):
     g = gold(d)
-    return star.fact_asset(silver(d)["bars"], g["dim_cryptostock_value"], g["dim_asset"], g["dim_time"])
+    return star.fact_distinct_bars(g["dim_cryptostock_value"], g["dim_asset"], g["dim_time"])
 
 
 @query("fct04_fact_value", "select * from o_fact_value")
@@ -100,6 +102,27 @@ def _(d):
     return star.build_star(s["indicators"], s["meta"], s["housing"], s["bars"], units(d))["fact_value"]
 
 
+# -- serving copies -----------------------------------------------------------
+
+_SERVED = {
+    "dim_time": "o_dim_time", "dim_country": "o_dim_country", "dim_region": "o_dim_region", "dim_value": "o_dim_value",
+    "dim_socioeconomical_indicator": "o_dim_socio", "dim_realestate_indicator": "o_dim_house", "dim_asset": "o_dim_asset",
+    "fact_value": "o_fact_value",
+}
+
+
+def _published(table: str, oracle: str) -> None:
+    columns = [*SERVING[table], *(["year"] if table == "fact_value" else [])]
+
+    @query(f"snk04_publish_{table}", f"select {', '.join(columns)} from {oracle}")
+    def _(d):
+        return publish({table: gold(d)[table]}, scratch_path(d.spark, "serving"))[table]
+
+
+for _name, _oracle in _SERVED.items():
+    _published(_name, _oracle)
+
+
 # -- constraints --------------------------------------------------------------
 
 _KEYED = {

@@ -255,3 +255,45 @@ def test_lookup_of_last_comma(spark):
     df = spark.createDataFrame([("a, b, c",), ("a",), (",",), ("",), (None,), ("x\ny, z",)], "t string")
     got = [tuple(r) for r in df.select(paths.before_last_comma(c("t")), paths.after_last_comma(c("t"))).collect()]
     assert got == [("a, b", "c"), ("a", "a"), ("", ""), ("", ""), (None, None), ("x\ny", "z")]
+
+
+def test_keys_beyond_int(spark):
+    from datetime import date
+
+    from millrace import schemas
+    from millrace.operators.rows import conform
+    from millrace.plans import star
+
+    bars = spark.createDataFrame(
+        [("A", date(2020, 1, 1), 2.0, 1.0, 5.0, 1.5), ("A", date(2020, 1, 2), None, 1.0, 5.0, 1.5)],
+        "symbol string, date_parsed date, high double, low double, volume double, last double").withColumn("type", F.lit("STOCK"))
+    values = star.dim_asset_value(bars, "bigint")
+    assert dict(values.dtypes)["cryptostock_value_key"] == "bigint"
+    moved = values.withColumn("cryptostock_value_key", F.col("cryptostock_value_key") + 2**31)
+    times = bars.select(F.col("date_parsed").alias("date_key"))
+    found = star.fact_distinct_bars(moved, star.dim_asset(bars), times)
+    facts = star.fact_value(found, key_type="bigint")
+    assert [r.cryptostock_value_key for r in facts.collect()] == [r.cryptostock_value_key for r in moved.filter("high is not null").collect()]
+    assert facts.first().cryptostock_value_key > 2**31
+    assert conform(found, schemas.fact("bigint")).schema["value_key"].dataType.simpleString() == "bigint"
+
+
+def test_published_versions(spark, tmp_path):
+    from millrace.sinks.files import publish
+
+    one = publish({"dim_asset": spark.sql("select 'A' as asset_key, 'STOCK' as type")}, str(tmp_path))["dim_asset"]
+    two = publish({"dim_asset": spark.sql("select 'B' as asset_key, 'STOCK' as type")}, str(tmp_path))["dim_asset"]
+    assert (one.first().asset_key, two.first().asset_key) == ("A", "B")
+
+
+def test_scratch_is_emptied(spark, tmp_path, monkeypatch):
+    import os
+
+    from millrace import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    with session.scratch(spark):
+        assert session.stable(spark.range(3)).count() == 3
+        with session.scratch(spark):
+            session.stable(spark.range(2))
+    assert os.listdir(tmp_path) == []
