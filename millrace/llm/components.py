@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.session import stable
+from millrace.session import drop_path, scratch, scratch_path, stable
 
 
 def _mark(links: DataFrame):
@@ -16,18 +16,30 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round lets every node hand its larger neighbours, then its smaller ones, to the
     smallest neighbour; the number of rounds grows with the logarithm of the longest path.
-    Rounds are written tables.  Minima are pre-aggregated, so a hub is no large group.
+    Links and minima are written tables, so each join is between two plain shuffles (or
+    broadcasts what is measured as small), and AQE splits a hub that holds many links over
+    tasks.  A round's tables are deleted once the next one's links are written.
     """
-    now = stable(links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct())
+    spark = links.sparkSession
+
+    def links_at():
+        return scratch_path(spark, "links")
+
+    path = links_at()
+    now = stable(links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), path)
     mark = _mark(now)
     while mark[0]:
-        both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).union(now.select(F.col("high").alias("u"), F.col("low").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("high"), F.col("m").alias("low"))
-        small = small.union(least.select(F.col("u").alias("high"), F.col("m").alias("low")))
-        now = stable(small.select("low", "high").distinct())
+        after = links_at()
+        with scratch(spark):
+            both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).union(now.select(F.col("high").alias("u"), F.col("low").alias("v")))
+            least = stable(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+            large = stable(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            least = stable(large.groupBy("u").agg(F.min("v").alias("m")))
+            small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("high"), F.col("m").alias("low"))
+            small = small.union(least.select(F.col("u").alias("high"), F.col("m").alias("low")))
+            now = stable(small.select("low", "high").distinct(), after)
+        drop_path(spark, path)
+        path = after
         before, mark = mark, _mark(now)
         if mark == before:
             break

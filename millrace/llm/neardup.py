@@ -277,7 +277,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     clusters = stable(components(tied))
 
     sized = clusters.join(reps, clusters["node"] == reps["digest"]).drop("node")
-    blocks = sized.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("blocks"))
+    # Written, so that the join is between plain shuffles and AQE can split a cluster that holds much.
+    blocks = stable(sized.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("blocks")))
     sized = sized.join(blocks, "root")
     wanted = narrow.join(sized.withColumnRenamed("key", "pick_key"), "text_key").filter(F.col("key").eqNullSafe(F.col("pick_key")))
 
@@ -308,7 +309,7 @@ def link_table(docs: DataFrame, key: str = "doc_id", text: str = "text", **optio
     made = join(docs, key, text, **options)
     least = made.rows.filter("n > 0").groupBy("digest").agg(F.min("key").alias("least"))
     named = made.classes.join(least, "digest")
-    ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
+    ids = stable(named.groupBy("root").agg(F.min("least").alias("class_id")))
     named = named.select("digest", "root", "links").join(ids, "root").select("digest", "class_id", "links")
     out = made.rows.select("key", "digest").join(named, "digest", "left")
     alone = F.col("digest").isNull()
