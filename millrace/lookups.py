@@ -371,9 +371,9 @@ pre pandemic; 2017 2019
 """
 
 # A question with one of these asks for yearly figures, and text
-# with one of those markers gives them; the boost such a hit gets.
+# with that marker gives them; the boost such a hit gets.
 YEARLY_WORDS = ("average", "annual", "yearly", "per year")
-AGGREGATE_MARKERS = ("annual real estate summary", "state-level context for the year")
+AGGREGATE_MARKERS = ("annual real estate summary",)
 YEARLY_BOOST = 0.05
 
 # Fixed value: a name matches an asset only above this similarity.

@@ -51,7 +51,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None) -> None:
     """Merge a batch of bars into the clean table; only the years it touches are rewritten.
 
-    Running the same batch again changes nothing, so a retried batch is harmless.  Bars
+    The years are replaced in place, so this is for a table with one writer that can be
+    built again; where a job may die on the way, use ``append_bars``.  Running the same batch again changes nothing, so a retried batch is harmless.  Bars
     without a readable date are kept in the partition of the NULL year, as ``clean_bars`` does.
     """
     spark = batch.sparkSession
@@ -68,20 +69,38 @@ def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None
     write_table(clean, path, "overwrite", ["year"], touched_only=True)
 
 
-def _upsert(batch: DataFrame, path: str, symbols: list[str] | None) -> None:
-    # Read twice: once for the years it touches, once for the merge.
-    batch.persist()
-    try:
-        upsert_by_year(batch, path, symbols)
-    finally:
-        batch.unpersist()
+def append_bars(batch: DataFrame, path: str, symbols: list[str] | None = None) -> None:
+    """Add a batch of clean bars to the log at ``path``; nothing that is there is touched.
+
+    Only the batch is written, however long the years it touches are.  A job that dies
+    loses nothing, and a batch written twice, or in part and then again, reads as once.
+    """
+    write_table(clean_bars(batch, symbols, newest="ingestion_timestamp"), path, "append", ["year"])
+
+
+def current_bars(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of every bar in the log, bars without a readable date included.
+
+    The year follows from the date, so naming it as a key changes no row but lets a
+    filter on year reach the partitions.
+    """
+    return dedupe(spark.read.parquet(path), ["symbol", "date", "year"], [F.col("ingestion_timestamp").desc_nulls_last()])
+
+
+def compact_bars(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Write the current bars as a new log at ``target`` and return its reader.
+
+    ``path`` stays as it is: its readers go on, and a writer moves over between two runs.
+    """
+    write_table(current_bars(spark, path), target, "errorifexists", ["year"], sort_by=["symbol", "date"])
+    return current_bars(spark, target)
 
 
 def maintain_clean_bars(
     bars: DataFrame, path: str, checkpoint: str, symbols: list[str] | None = None
 ) -> StreamingQuery:
-    """Keep the clean table up to date from a stream of bars, then stop."""
+    """Append a stream of bars to the log at ``path``, then stop; read it by ``current_bars``."""
     return (
-        bars.writeStream.foreachBatch(lambda batch, _: _upsert(batch, path, symbols))
+        bars.writeStream.foreachBatch(lambda batch, _: append_bars(batch, path, symbols))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

@@ -218,7 +218,7 @@ def _(d):
     return R.rerank(_asked(d), _hits(d), 20).select("question_id", "rank", "id", "similarity", "position")
 
 
-_LABEL = "case cat when 1 then 'Socioeconomic' when 2 then concat('Crypto/Stock (', asset_key, ')') else 'Real Estate' end"
+_LABEL = "case cat when 1 then 'socioeconomic' when 2 then concat('asset ', asset_key) else 'realestate' end"
 
 
 @query("vec09_context", _RERANKED + f"""select question_id, count(*) as docs,
@@ -246,8 +246,8 @@ def _(d):
     answers = R.answer_contexts(d.fx_asked, d.spark.read.parquet(path), total_k=40, final_k=20)
     return answers.select(
         "question_id", "text", c("docs").cast("int").alias("docs"),
-        (F.size(F.regexp_extract_all("context", F.concat(F.lit("#[0-9]+ Real Estate, year "), year), 0)) == 20).alias("in_year"),
-        c("context").startswith("#1 Real Estate").alias("numbered"),
+        (F.size(F.regexp_extract_all("context", F.concat(F.lit("#[0-9]+ realestate, year "), year), 0)) == 20).alias("in_year"),
+        c("context").startswith("#1 realestate").alias("numbered"),
     )
 
 

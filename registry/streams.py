@@ -64,4 +64,4 @@ def _(d):
         write_table(stamped.filter(c("load_id") == load).drop("load_id"), src, "append")
         stream = d.spark.readStream.schema(stamped.drop("load_id").schema).parquet(src)
         I.maintain_clean_bars(stream, dst, f"{dst}-checkpoint", SYMBOLS).awaitTermination()
-    return d.spark.read.parquet(dst).drop("ingestion_timestamp")
+    return I.current_bars(d.spark, dst).drop("ingestion_timestamp")

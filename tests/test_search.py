@@ -141,6 +141,20 @@ def test_questions_are_tagged(spark):
     assert rows[4].data_types == R.CATEGORIES and rows[4].start_year is None
 
 
+def test_stored_assets_are_tagged(spark):
+    q = questions(
+        spark, "How did AVGO and BRK.B do in 2020?", "Compare apple, V. and AVGO with inflation", "Tell us about home prices",
+        "How did the US do? I see v rising", "Prices in US",
+    )
+    chunks = spark.createDataFrame([(k,) for k in ("AVGO", "BRK.B", "V", "AAPL", "I", None, "AVGO")], "asset_key string")
+    rows = {r.question_id: r for r in R.tag_stored_assets(R.analyse_questions(q), chunks).collect()}
+    assert rows[0].assets == ["AVGO", "BRK.B"] and rows[0].data_types == ["asset"] and rows[0].start_year == 2020
+    assert rows[1].assets == ["AAPL", "V", "AVGO"] and rows[1].data_types == ["socioeconomic", "asset"]
+    assert rows[2].countries == [] and rows[2].assets == []
+    assert rows[3].countries == ["USA"] and rows[3].assets == [] and rows[3].data_types == R.CATEGORIES
+    assert rows[4].countries == ["USA"]
+
+
 def test_state_codes(spark):
     q = questions(
         spark, "price in Ohio in 2019", "price in Ohio (OH)", "West Virginia and Ohio", "Arkansas homes", "Kansas", "nothing",

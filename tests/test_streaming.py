@@ -94,3 +94,23 @@ def test_upsert_touches_only_its_years(spark, tmp_path):
         I.upsert_by_year(load(("AAPL", "bad", 3.0, 2)), path)
     undated = [(r.symbol, r.date, r.year) for r in spark.read.parquet(path).filter("year is null").collect()]
     assert undated == [("AAPL", "bad", None)] and spark.read.parquet(path).count() == 4
+
+
+def test_appended_bars_survive_a_broken_batch(spark, tmp_path):
+    path, compacted = str(tmp_path / "log"), str(tmp_path / "compacted")
+    ddl = "symbol string, type string, date string, high double, low double, last double, volume long, ingestion_timestamp timestamp"
+    load = lambda *rows: spark.createDataFrame([(s, "STOCK", d, 2.0, 1.0, p, 5, at(day)) for s, d, p, day in rows], ddl)
+    I.append_bars(load(("AAPL", "2023-05-01", 1.0, 1), ("AAPL", "2024-05-01", 1.0, 1)), path)
+    first = {os.path.join(r, f) for r, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    second = [("AAPL", "2024-05-01", 2.0, 2), ("MSFT", "2024-05-02", 3.0, 2), ("AAPL", "bad", 3.0, 2)]
+    I.append_bars(load(*second[:1]), path)  # dies after a part of the batch
+    I.append_bars(load(*second), path)  # the batch again, as a whole
+    I.append_bars(load(("AAPL", "2024-05-01", 9.0, 1)), path)  # older than what is there
+    assert all(os.path.exists(f) for f in first)
+    want = [("AAPL", "2023-05-01", 1.0, 2023), ("AAPL", "2024-05-01", 2.0, 2024), ("AAPL", "bad", 3.0, None), ("MSFT", "2024-05-02", 3.0, 2024)]
+    rows = lambda df: sorted((r.symbol, r.date, r["last"], r.year) for r in df.collect())
+    assert rows(I.current_bars(spark, path)) == want
+    assert rows(I.compact_bars(spark, path, compacted)) == want and spark.read.parquet(compacted).count() == 4
+    one_year = I.current_bars(spark, path).filter("year = 2024")
+    assert "PartitionFilters: [isnotnull(year" in one_year._jdf.queryExecution().toString()
+    assert rows(one_year) == [want[1], want[3]]
