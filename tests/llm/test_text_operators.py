@@ -336,6 +336,29 @@ def test_secrets(spark):
     assert all(r["secret"] == (r["doc_id"] < 64) for r in rows)
 
 
+def test_secrets_after_names_and_of_known_forms(spark):
+    dice = random.Random(9)
+    draw = lambda n, of="0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ": "".join(dice.choice(of) for _ in range(n))
+    ghp, akia, bare = "ghp_" + draw(36), "AKIA" + draw(15, "ABCDEFGH0123") + "7", "AKIA" + draw(16, "ABCDEFGH")
+    want = [  # text, candidate, secret (None: either)
+        (f"TOKEN={ghp}", ghp, True), (f"export API_KEY={akia}\n", akia, True), (f"id is {bare} today", bare, True), (f"\\n{akia}/20250101/us", akia, True),
+        (f"https://host/x?a=1&token={ghp}&b=2", ghp, True), (f"GITHUB_ACCESS_TOKEN_V2={ghp}", ghp, True), ("password = 'hunter2!x'", "hunter2!x", True),
+        ("DB_PASSWORD=p&s(s)1;w", "p&s(s)1;w", None), ('{"secret": "a \\"b\\" c"}', 'a \\"b\\" c', None), ("password: opensesame, and more", "opensesame", None),
+        ("Authorization: Bearer abc.DEF-9", "abc.DEF-9", None), ("<password>s3cret!</password>", "s3cret!", None), ("data=QUJDREVGR0hJSktMTU5P1w==", "QUJDREVGR0hJSktMTU5P1w==", None),
+        ("token = " + "A1" * 200_000, "A1" * 200_000, None), ("A1" * 200_000, "A1" * 200_000, None), ('token = "' + "é!" * 100_000 + '"', "é!" * 100_000, None),
+    ]
+    texts = ["x"] + [t for t, _, _ in want] + [f'token = "{draw(40)}" and words' for _ in range(40)] + [f"see commit {draw(40)} in the log of the day" for _ in range(40)]
+    got = {}
+    for r in secrets.scan(docs_of(spark, texts)).filter("doc_id > 0").collect():
+        assert texts[r["doc_id"]][r["start"]:r["end"]] == r["candidate"]
+        got.setdefault(r["doc_id"], {})[r["candidate"]] = r["secret"]
+    for i, (text, candidate, secret) in enumerate(want, 1):
+        assert candidate in got[i], text[:60]
+        assert secret is None or got[i][candidate] == secret, text[:60]
+    label = {r["candidate"]: r["label"] for r in secrets.weak_labels(secrets.with_features(secrets.candidates(docs_of(spark, texts)), [])).collect()}
+    assert label[ghp] == label[akia] == label[bare] == label["hunter2!x"] == 1.0
+
+
 def smith_waterman(item, text):
     best, above = 0, [0] * (len(text) + 1)
     for a in item:
