@@ -7,6 +7,13 @@ stands in very many texts keeps its seeds all the same.  A text that holds a see
 aligned with the item around the seed's diagonal by Smith-Waterman (match 2, mismatch
 and gap -1); the score is the alignment's share of a perfect one.
 
+A text holds an item if the score reaches ``threshold``, or ``SHORT`` words of an item so
+short that they are a larger share of it (all of it where it has no more); an item of
+fewer than ``TINY`` words only if the text is nothing else.  It also holds it, however
+small the share, if a stretch aligns with ``STRETCH`` more matching words than ``ERROR``
+times its errors.  Such a stretch has a run of ``ERROR + 1`` matching words, so with a
+seed in every such run of the item none is missed.
+
 Items travel with the tasks in blocks of at most ``BLOCK_BYTES`` of item text; a larger
 benchmark takes one pass over the corpus per block.  Nothing is shuffled but the counts.
 """
@@ -25,6 +32,8 @@ GRAM = 3
 SHARE = 0.75
 LEAST = 8
 THRESHOLD = 0.3
+SHORT, TINY = 8, 5
+STRETCH, ERROR = 13, 4
 BLOCK_BYTES = 4 << 20
 CELLS = 400_000
 MATCH, MISS, GAP = 2, -1, -1
@@ -43,6 +52,7 @@ class Items:
         cut = np.split(words.hash, words.first[1:]) if len(raw) else []
         self.ids = [i for i, w in zip(ids, cut) if len(w)]
         self.words = [w for w in cut if len(w)]
+        self.gram = gram
         # Items shorter than an n-gram are sought as a whole.
         rows = []
         for item, w in enumerate(self.words):
@@ -72,7 +82,8 @@ class Items:
             yield n, at[hit], slot[hit]
 
     def keep_rare(self, frequency: dict[tuple[int, int], int], share: float = SHARE, least: int = LEAST) -> "Items":
-        """Keep the rarest n-grams of each item as its seeds, given the texts that hold (size, seed number)."""
+        """Keep the rarest n-grams of each item, and the rarest of every run of ``ERROR + 1`` words, as its seeds,
+        given the texts that hold (size, seed number)."""
         count = np.zeros(len(self.value), np.int64)
         for n, (value, rows, cut) in self.seeds.items():
             per = np.array([frequency.get((n, s), 0) for s in range(len(value))], np.int64)
@@ -83,6 +94,12 @@ class Items:
         for i in range(len(self.words)):
             mine = order[start[i]:start[i + 1]]
             self.alive[mine[: max(least, math.ceil(share * len(mine)))]] = True
+            wide = max(1, ERROR + 2 - self.gram)
+            if len(self.words[i]) >= STRETCH and len(mine) >= wide:
+                rank = np.empty(len(mine), np.int64)
+                rank[self.place[mine]] = np.arange(len(mine))
+                first = np.lib.stride_tricks.sliding_window_view(rank, wide).min(1)
+                self.alive[mine[np.unique(first)]] = True
         self._index()
         return self
 
@@ -121,7 +138,7 @@ def _as_words(hashes):
     return SimpleNamespace(hash=hashes, doc=np.zeros(len(hashes), np.int64))
 
 
-def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def align(items: list[np.ndarray], texts: list[np.ndarray], match: int = MATCH, miss: int = MISS, gap: int = GAP) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment score of each (item, text) pair, and the word after its end in the text."""
     n = len(items)
     best, end = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -137,12 +154,12 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray,
         for k, i in enumerate(part):
             text[k, : len(texts[i])] = texts[i]
             item[k, : len(items[i])] = items[i]
-        ramp = -GAP * np.arange(1, wide + 1, dtype=np.int64)
+        ramp = -gap * np.arange(1, wide + 1, dtype=np.int64)
         above = np.zeros((len(part), wide + 1), np.int64)
         top, where = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
         for r in range(tall):
-            cell = above[:, :-1] + np.where(text == item[:, r:r + 1], MATCH, MISS)
-            np.maximum(cell, above[:, 1:] + GAP, out=cell)
+            cell = above[:, :-1] + np.where(text == item[:, r:r + 1], match, miss)
+            np.maximum(cell, above[:, 1:] + gap, out=cell)
             np.maximum(cell, 0, out=cell)
             # A gap along the row: the running maximum of what each cell would lend.
             cell = np.maximum.accumulate(cell + ramp, axis=1) - ramp
@@ -161,22 +178,30 @@ class Search:
         self.items, self.threshold = items, threshold
 
     def hits(self, words):
-        """(text, item number, score, first and last word) of the best alignment of each pair, from the threshold on."""
+        """(text, item number, score, first and last word) of the best alignment of each pair that the text holds."""
         window = self.items.windows(words)
         item = [self.items.words[i] for i in window[:, 1]]
         text = [words.hash[a:b] for a, b in window[:, 2:]]
+        size = np.array([len(w) for w in item], np.int64)
         score, end = align(item, text)
-        share = score / np.array([MATCH * len(w) for w in item]) if len(item) else score
-        good = np.flatnonzero(share >= self.threshold)
-        # Backwards from the end, the best alignment ends where this one begins.
-        _, back = align([item[i][::-1] for i in good], [text[i][: end[i]][::-1] for i in good])
+        share = score / (MATCH * np.maximum(size, 1))
+        held = share >= np.maximum(self.threshold, np.minimum(1, SHORT / np.maximum(size, 1)))
+        held &= (size >= TINY) | (words.per_doc[window[:, 0]] == size)
+        # A stretch that suffices scores at least so much here too.
+        part = np.flatnonzero(~held & (score >= MATCH * STRETCH))
+        strict = {"match": 1, "miss": -ERROR, "gap": -ERROR}
+        value, until = align([item[i] for i in part], [text[i] for i in part], **strict)
+        part, until = part[value >= STRETCH], until[value >= STRETCH]
         best = {}
-        for k, i in enumerate(good):
-            d, j, low, _ = (int(x) for x in window[i])
-            at = low - int(words.first[d])
-            row = (float(share[i]), at + int(end[i] - back[k]), at + int(end[i]) - 1)
-            if (d, j) not in best or row[0] > best[d, j][0]:
-                best[d, j] = row
+        for good, stop, weights in ((np.flatnonzero(held), end[held], {}), (part, until, strict)):
+            # Backwards from the end, the best alignment ends where this one begins.
+            _, back = align([item[i][::-1] for i in good], [text[i][:e][::-1] for i, e in zip(good, stop)], **weights)
+            for i, e, n in zip(good, stop, back):
+                d, j, low, _ = (int(x) for x in window[i])
+                at = low - int(words.first[d])
+                row = (float(share[i]), at + int(e - n), at + int(e) - 1)
+                if (d, j) not in best or row[0] > best[d, j][0]:
+                    best[d, j] = row
         return [(d, j, *row) for (d, j), row in sorted(best.items())]
 
     def job(self, data, offsets):

@@ -398,6 +398,25 @@ def test_leaks(spark, block_bytes):
     assert next(r for r in got if r["item_id"] == 0)["score"] == 1.0
 
 
+def test_stretches_of_long_items_and_short_items(spark):
+    dice = random.Random(12)
+    word = lambda: "".join(dice.choice("abcdefghijklm") for _ in range(6))
+    common = [word() for _ in range(15)]
+    long = [word() for _ in range(80)] + common + [word() for _ in range(105)]
+    near = long[10:35]
+    near[8], near[16] = word(), word()
+    far = [w if k % 3 else word() for k, w in enumerate(long[100:145])]
+    capital = "What is the capital of France"
+    parts = [long[20:75], long[20:33], long[20:32], near, far, common, f"so what is the matter of {word()}".split(), f"he asked: {capital}?".split(), ["yes"], "well yes it is".split()]
+    texts = [None] + [" ".join(p if len(p) < 3 else [word() for _ in range(30)] + p + [word() for _ in range(30)]) for p in parts]
+    texts += [" ".join(common + [word()]) for _ in range(60)]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, capital), (3, "yes")], "item_id bigint, text string")
+    got = decontaminate.search(docs_of(spark, texts), items, carry=["doc_id"]).select("doc_id", F.explode("leaks.hits").alias("h")).select("doc_id", "h.*").collect()
+    found = {(r["doc_id"], r["item_id"]): (r["first_word"], r["last_word"]) for r in got}
+    assert found == {(1, 1): (30, 84), (2, 1): (30, 42), (4, 1): (30, 54), (6, 1): (30, 44), (8, 2): (32, 37), (9, 3): (0, 0),
+                     **{(i, 1): (0, 14) for i in range(11, 71)}}
+
+
 def test_mixture_meets_quota(spark):
     rows = [(i, "w " * (i % 7 + 1), "big" if i % 10 else f"small{i % 4}") for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
