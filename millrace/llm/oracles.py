@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import licenses, mixing, quality_rules
+from millrace.llm import gnat, licenses, mixing, quality_rules, spelling
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -124,10 +124,74 @@ select page_id, payload_bytes, payload_digest,
 from q left join f using (payload_digest)
 """
 
+def _codes_sql() -> str:
+    nearest = lambda book: f"""
+  select rid, part, v, arg_min(e, (d, e)) as e, min(d) as d from (
+    select rid, p.part, v, e, list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::bigint as d
+    from p join {book} b on b.part = p.part) group by rid, part, v"""
+    steps = []
+    for k in range(gnat.ROUNDS):
+        steps.append(f"a{k} as materialized ({nearest(f'b{k}')})")
+        steps.append(f"""b{k + 1} as materialized (select part, e, coalesce(m, c) as c from b{k} left join (
+  select part, e, list((s - ((s % n) + n) % n) // n order by i) as m from (
+    select part, e, i, sum(v[i])::bigint as s, count(*) as n from a{k}, (select unnest(range(1, 1 + (select max(len(v)) from p))) as i) group by all) group by all) using (part, e))""")
+    return f"""
+with k as (select row_number() over (order by vec_id nulls last, embedding) as rid, vec_id, label, list_transform(embedding, lambda x: floor({gnat.SCALE} * x::double)::bigint) as v
+  from embeddings where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (select rid, part, v[part * (len(v) // {gnat.PARTS}) + 1:(part + 1) * (len(v) // {gnat.PARTS})] as v from k, (select unnest(range({gnat.PARTS})) as part)),
+b0 as (select part, rid - 1 as e, v as c from p where rid <= {gnat.ENTRIES}),
+{", ".join(steps)},
+last as materialized ({nearest(f'b{gnat.ROUNDS}')}),
+coded as (select rid, string_agg(lpad(format('{{:x}}', e), 2, '0'), '' order by part) as code, sum(d)::bigint as error from last group by rid),
+whole as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, e)) as h from b{gnat.ROUNDS})
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, h as codebooks_sha256 from k join coded using (rid), whole
+"""
+
+
+_COPIES_SQL = rf"""
+with recursive d as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w from documents),
+s as (select rid, doc_id, list_sort(list_distinct(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1]) end)) as runs from d),
+c as (select runs, min(rid) as cid, len(runs) as n from s where len(runs) > 0 group by runs),
+g as materialized (select cid, n, unnest(runs) as run from c),
+f as (select run, count(*) as df from g group by run),
+p as materialized (select cid, n, run from g join f using (run) qualify row_number() over (partition by cid order by df, run) <= n - ceil(0.8 * n - 1e-9) + 1),
+cand as materialized (select distinct a.cid as a, b.cid as b from p a join p b on a.run = b.run and a.cid < b.cid and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+link as materialized (select a, b from cand join c x on x.cid = a join c y on y.cid = b where 100 * len(list_intersect(x.runs, y.runs)) >= 80 * (x.n + y.n - len(list_intersect(x.runs, y.runs)))),
+both_ as (select a, b from link union all select b, a from link),
+reach as (select cid as a, cid as b from c union select reach.a, both_.b from reach join both_ on reach.b = both_.a),
+least_ as (select runs, min(doc_id) as low from s group by runs),
+root as (select a, min(low) as component from reach join c on c.cid = b join least_ using (runs) group by a)
+select s.doc_id, len(s.runs)::bigint as n_shingles, case when c.cid is null then s.doc_id else component end as component_id,
+  case when c.cid is null then s.doc_id else component end is not distinct from s.doc_id as kept
+from s left join c using (runs) left join root on root.a = c.cid
+"""
+
+_SPELLING_SQL = rf"""
+with recursive crc as materialized (select list(list_reduce(range(8), lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, i) order by i) as t from range(256) r(i)),
+runs as (select coalesce(doc_id::varchar, '') as k, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) as w from documents where text is not null),
+per as (select k, w, count(*) as n, hex(encode(k || ':' || w)) as h from runs group by k, w),
+summed as (select w, n, xor(4294967295, list_reduce(range(len(h) // 2), lambda x, i: xor(t[(xor(x & 255, ('0x' || substr(h, 2 * i + 1, 2))::bigint)) + 1], x >> 8), 4294967295::bigint)) as h from per, crc),
+made as (select case when h % {spelling.DAMAGE} = 0 then substr(w, 1, (h % length(w))::integer) || substr(w, (h % length(w))::integer + 2) else w end as word, n from summed),
+v as materialized (select word, sum(n)::bigint as n from made where length(word) >= {spelling.LENGTH} group by word having sum(n) >= {spelling.COUNT}),
+cut as materialized (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from v, lateral (select unnest(range(length(word))) as i)),
+pair as (
+  select a.word, b.word as other, b.n as m from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select a.word, b.word, b.n from cut a join v b on a.rest = b.word
+  union select b.word, a.word, a.n from cut a join v b on a.rest = b.word),
+best as (select word, count(*) as n_near, first(other order by m desc, other) as best, max(m) as best_n from pair group by word),
+f as materialized (select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when best_n >= {spelling.RATIO} * v.n then best end as form, case when best_n >= {spelling.RATIO} * v.n then best_n end::bigint as form_n
+  from v left join best using (word)),
+walk as (select word, word as at_ from f union all select walk.word, f.form from walk join f on f.word = walk.at_ where f.form is not null)
+select f.*, walk.at_ as root from f join walk using (word) join f e on e.word = walk.at_ where e.form is null
+"""
+
 ORACLES = {
     "op1_quality_rules": _rules_sql(),
     "op4_mixing": _mix_sql(),
     "op5_licenses": _license_sql(),
     "op7_ngram_join": _join_sql(),
     "op8_warc": _WARC_SQL,
+    "op11_vector_codes": _codes_sql(),
+    "op12_near_copies": _COPIES_SQL,
+    "op13_spelling": _SPELLING_SQL,
 }

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, licenses, mixing, nbsvm, neardup, privacy, quality_rules, secrets, warc
+from millrace.llm import decontaminate, gnat, langid, licenses, mixing, nbsvm, neardup, oneperm, privacy, quality_rules, secrets, spelling, warc
 from millrace.llm.oracles import ORACLES  # noqa: F401
 from millrace.llm.shared import held_out, table
+from millrace.session import stable
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -65,6 +66,26 @@ def op10_decontamination(spark, sf_dir):
     return out.select("doc_id", F.explode("leaks.hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op11_vector_codes(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    model = gnat.fit(vectors)
+    if model is None:
+        return spark.createDataFrame([], "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string")
+    hexed = F.array_join(F.transform("code.entries", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0")), "")
+    coded = stable(gnat.encode(vectors, model, carry=["vec_id", "label"]).select("vec_id", "label", hexed.alias("code"), "code.error"))
+    sums = stable(coded.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error")))
+    return coded.join(sums, F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(model.digest()).alias("codebooks_sha256"))
+
+
+def op12_near_copies(spark, sf_dir):
+    return oneperm.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -73,4 +94,4 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_language, op3_quality, op4_mixing, op5_licenses, op6_private, op7_ngram_join, op8_warc, op9_secrets,
-    op10_decontamination, pipeline)}
+    op10_decontamination, op11_vector_codes, op12_near_copies, op13_spelling, pipeline)}
