@@ -259,13 +259,16 @@ def _with_runs(texts: DataFrame, reps: DataFrame, ids: DataFrame, gram: int) ->
     return stable(with_result(once, "text", "g", "runs binary", sets, ["id"]).select("id", "g.runs"))
 
 
-def _star_links(texts: DataFrame, reps: DataFrame, close: DataFrame, gram: int, percent: int, need: int) -> DataFrame:
-    """True links (a, b) among the edges from each bucket's centre to its members."""
+def _star_edges(reps: DataFrame, close: DataFrame, percent: int, need: int) -> DataFrame:
+    """Edges (a, b) from each bucket's centre to its members that sizes and bins leave possible."""
     edges = close.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     side = lambda name: reps.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
     edges = edges.join(side("a"), "a").join(side("b"), "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    edges = stable(edges.select("a", "b", "sa", "sb").mapInArrow(lambda it: _agreeing(it, need), "a bigint, b bigint"))
-    runs = _with_runs(texts, reps, edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct(), gram)
+    return stable(edges.select("a", "b", "sa", "sb").mapInArrow(lambda it: _agreeing(it, need), "a bigint, b bigint"))
+
+
+def _star_links(edges: DataFrame, runs: DataFrame, percent: int) -> DataFrame:
+    """The true links among the edges."""
     blocks = stable(edges.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
     edges = edges.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "blocks").alias("block"))
     centres = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
@@ -276,7 +279,7 @@ def _star_links(texts: DataFrame, reps: DataFrame, close: DataFrame, gram: int,
     return stable(both.mapInArrow(lambda it: _count_stars(it, percent), "a bigint, b bigint"))
 
 
-def _rest_links(texts: DataFrame, reps: DataFrame, close: DataFrame, found: DataFrame, gram: int, percent: int, need: int) -> DataFrame | None:
+def _rest_links(runs: DataFrame, reps: DataFrame, close: DataFrame, found: DataFrame, percent: int, need: int) -> DataFrame | None:
     """True links between members of a bucket that the stars left in different components."""
     known = lambda df: df.join(found.withColumnsRenamed({"node": "id", "root": "__root"}), "id", "left").withColumn("comp", F.coalesce("__root", "id")).drop("__root")
     sig = reps.select("id", "n", "sig")
@@ -284,14 +287,12 @@ def _rest_links(texts: DataFrame, reps: DataFrame, close: DataFrame, found: Data
     members = stable(known(close.filter("members > 2").select("bucket", "id")))
     majors = stable(_majors(members, "bucket"))
     rest = members.join(majors, "bucket").withColumn("major", F.col("comp") == F.col("largest")).drop("largest").join(sig.drop("n"), "id")
-    tied = _dealt(rest, "bucket").mapInArrow(lambda it: _tie(it, ["bucket", "first", "second"], need), "a bigint, b bigint")
-    tied = stable(tied)
+    tied = stable(_dealt(rest, "bucket").mapInArrow(lambda it: _tie(it, ["bucket", "first", "second"], need), "a bigint, b bigint"))
     if not tied.take(1):
         return None
     clusters = known(stable(components(tied)).withColumnsRenamed({"node": "id", "root": "cluster"})).join(sig, "id")
     clusters = stable(clusters)
     majors = stable(_majors(clusters, "cluster", "n"))
-    runs = _with_runs(texts, reps, clusters.select("id"), gram)
     rest = clusters.join(majors, "cluster").withColumn("major", F.col("comp") == F.col("largest")).drop("largest", "n").join(runs, "id")
     return stable(_dealt(rest, "cluster").mapInArrow(
         lambda it: _count_blocks(it, ["cluster", "first", "second"], need, percent), "a bigint, b bigint"))
@@ -322,9 +323,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     held = held.groupBy("members", "centre", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "members", "centre")
     close = stable(members.join(held, "bucket"))
 
-    links = _star_links(texts, reps, close, gram, percent, need)
-    found = stable(components(links))
-    more = _rest_links(texts, reps, close, found, gram, percent, need)
+    edges = _star_edges(reps, close, percent, need)
+    # One pass over the texts makes the sets for both ways of counting.
+    ids = edges.select(F.col("a").alias("id")).union(edges.select("b")).union(close.filter("members > 2").select("id")).distinct()
+    runs = _with_runs(texts, reps, ids, gram)
+    found = stable(components(_star_links(edges, runs, percent)))
+    more = _rest_links(runs, reps, close, found, percent, need)
     if more is not None:
         found = stable(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)))
 
