@@ -1,6 +1,7 @@
 """Approximate search: vectors in lists by nearest centroid, a few lists probed.
 
-The index is a table partitioned by ``list_id`` next to a table of centroids.
+The index is a table partitioned by ``list_id`` next to a table of centroids and, once
+``calibrate`` has compared it with the exact search, the number of lists to probe.
 """
 
 from __future__ import annotations
@@ -12,9 +13,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.vectors import unit_length
-from millrace.operators.search import search_lists
+from millrace.operators.search import search, search_lists
+from millrace.session import stable
 from millrace.sinks.files import write_table
 
+SAMPLE = 256
+RECALL = 0.9
+
 
 def build_ivf(
     chunks: DataFrame, path: str, lists: int = 100, iterations: int = 10, seed: int = 7,
@@ -73,9 +78,48 @@ def nearest_lists(vector: Column, centroids: np.ndarray, ids: np.ndarray, probes
     return pick(vector.cast("array<double>"))
 
 
-def ivf_search(spark: SparkSession, requests: DataFrame, path: str, probes: int = 10) -> DataFrame:
-    """As ``search``, over the ``probes`` nearest lists of each request only."""
+def calibrate(spark: SparkSession, path: str, k: int = 10, requests: DataFrame | None = None, recall: float = RECALL, sample: int = SAMPLE) -> int:
+    """The fewest probes whose recall at ``k`` is at least ``recall``, written beside the index.
+
+    Measured against the exact search: for each true neighbour, the place of its list in
+    the request's order of lists says how many probes find it.  ``requests(request_id,
+    vector)`` should be like those to come and none of those the recall is judged by;
+    without them ``sample`` indexed vectors, picked by hash, ask for their neighbours other than
+    themselves.  At most ``sample`` requests are used.  The share must hold by two
+    standard errors, so a small sample asks for more probes; where none suffices, or
+    nothing was asked, all lists are probed.
+    """
+    centroids, ids = _centroids(spark, path)
+    index = spark.read.parquet(f"{path}/lists")
+    own = requests is None
+    if own:
+        requests = index.select(F.col("id").alias("request_id"), F.col("embedding").alias("vector"))
+    asked = stable(requests.select("request_id", "vector").orderBy(F.xxhash64("request_id"), "request_id").limit(sample))
+    true = search(asked.withColumn("k", F.lit(k + own)), index)
+    if own:
+        true = true.filter("request_id <> id")
+    true = stable(true.select("request_id", "id"))
+    order = asked.select("request_id", nearest_lists(F.col("vector"), centroids, ids, len(ids)).alias("order"))
+    place = F.array_position("order", F.col("list_id")).cast("int")
+    # One row per list at most.
+    counts = true.join(index.select("id", "list_id"), "id").join(order, "request_id").groupBy(place.alias("place")).count().collect()
+    found = np.zeros(len(ids) + 1)
+    for r in counts:
+        found[r["place"]] += r["count"]
+    probes, n = len(ids), asked.count()
+    if found.sum():
+        share = np.cumsum(found)[1:] / found.sum()
+        sure = share - 2 * np.sqrt(np.maximum(share * (1 - share), 0) / max(n, 1)) >= recall
+        probes = int(np.argmax(sure)) + 1 if sure.any() else len(ids)
+    spark.createDataFrame([(probes,)], "probes int").write.mode("overwrite").parquet(f"{path}/probes")
+    return probes
+
+
+def ivf_search(spark: SparkSession, requests: DataFrame, path: str, probes: int | None = None) -> DataFrame:
+    """As ``search``, over the ``probes`` nearest lists of each request only (default: as calibrated)."""
     centroids, ids = _centroids(spark, path)
+    if probes is None:
+        probes = spark.read.parquet(f"{path}/probes").first()["probes"]
     probing = requests.withColumn("list_id", F.explode(nearest_lists(F.col("vector"), centroids, ids, probes)))
     # At most as many as the index has lists; lists that nobody asks for are not read.
     needed = [r.list_id for r in probing.select("list_id").distinct().collect()]

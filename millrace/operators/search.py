@@ -11,8 +11,9 @@ No pair of request and chunk becomes a row.  Chunks stay where they are scanned;
 each task scores Arrow batches against all requests with matrix products, one per
 distinct filter, and keeps only the best k per request, so what is shuffled is k
 rows per request and task.  Requests are shipped to the tasks only while their
-number is under ``request_limit`` and their size under REQUEST_BYTES; beyond that both sides are split in blocks that
-meet by an equi-join on the block numbers.
+number is under ``request_limit`` and their size under REQUEST_BYTES.  Beyond that they go in
+blocks, one after the other: each block is one scan of the chunks, and its best k are
+written before the next.  Chunks are neither shuffled nor copied for any number of requests.
 
 Similarities are rounded to nine places, and equal ones ordered by id, so results
 do not depend on the order of summation.  A zero vector has no similarity and
@@ -29,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.rows import top_per_key
+from millrace.session import scratch_path, stable
 
 FAMILIES = {
     "socioeconomic": "socio_indicator_key",
@@ -182,7 +184,7 @@ def _prepare(requests: DataFrame) -> DataFrame:
 
 def search(
     requests: DataFrame, chunks: DataFrame, where: Column | None = None,
-    request_limit: int = REQUEST_LIMIT, bucket_rows: int = BUCKET_ROWS,
+    request_limit: int = REQUEST_LIMIT,
 ) -> DataFrame:
     """(request_id, id, similarity, rank): the k most similar chunks of each request.
 
@@ -207,7 +209,7 @@ def search(
     if ships:
         partial = _scan(scanned, head, schema)
     else:
-        partial = _blocks(scanned, wanted, request_limit, bucket_rows, schema)
+        partial = _blocks(scanned, wanted, request_limit, schema)
     best_first = [F.desc("similarity"), F.asc("id")]
     salts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
@@ -248,7 +250,8 @@ def search_lists(index: DataFrame, probes: DataFrame, bucket_rows: int = BUCKET_
     # Carried through as the one list of the row, then cleared: the join has applied it.
     wanted = _prepare(probes.withColumn("lists", F.array("list_id"))).select(*named, F.col("lists")[0].alias("list_id"))
     wanted = wanted.withColumn("lists", F.lit(None).cast("array<int>"))
-    columns = ["id", "embedding", "year_key", "text", *FAMILIES.values(), "list_id"]
+    columns = ["id", "embedding", "year_key", *FAMILIES.values(), "list_id"]
+    columns += ["text"] if "countries" in probes.columns else []
     scanned = index.filter(F.col("embedding").isNotNull()).select(*columns)
     types = dict(probes.dtypes), dict(index.dtypes)
     schema = _HITS.format(rid=types[0]["request_id"], cid=types[1]["id"])
@@ -269,29 +272,20 @@ def search_lists(index: DataFrame, probes: DataFrame, bucket_rows: int = BUCKET_
     return top_per_key(partial, ["request_id"], best_first, "k").select("request_id", "id", "similarity", "rank")
 
 
-def _blocks(
-    chunks: DataFrame, requests: DataFrame, request_limit: int, bucket_rows: int, schema: str
-) -> DataFrame:
-    """Too many requests to ship: blocks of requests meet buckets of chunks."""
+def _blocks(chunks: DataFrame, requests: DataFrame, request_limit: int, schema: str) -> DataFrame:
+    """Too many requests to ship at once: a scan of the chunks for each block of them."""
     spark = chunks.sparkSession
-    out = _arrow_schema(schema, spark)
-    blocks = max(2, -(-2 * requests.count() // request_limit))
-    buckets = max(1, -(-chunks.count() // bucket_rows))
-
-    def number(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = chunks.withColumn("_bucket", number("id", buckets)).withColumn("_block", every(blocks))
-    right = requests.withColumn("_block", number("request_id", blocks)).withColumn("_bucket", every(buckets))
-
-    def score(block: pa.Table, some: pa.Table) -> pa.Table:
-        scorer = _Scorer(some)
-        for batch in block.to_batches(max_chunksize=10_000):
-            scorer.add(batch)
-        return scorer.result(out)
-
-    meet = ["_block", "_bucket"]
-    return left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInArrow(score, schema)
+    asked = stable(requests)
+    # Bytes of a request: its vector and what else it may name.
+    named = F.size(F.array_compact(F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in ("codes", "countries")])))
+    size = 64 + 8 * F.greatest(F.size("vector"), F.lit(0)) + 64 * named + 4 * F.greatest(F.coalesce(F.size("lists"), F.lit(0)), F.lit(0))
+    n, total = asked.agg(F.count(F.lit(1)), F.sum(size)).first()
+    # Twice as many as fit on average, so that none is over the limit by chance.
+    blocks = max(2, -(-2 * n // request_limit), -(-2 * int(total or 0) // REQUEST_BYTES))
+    number = F.pmod(F.xxhash64("request_id"), F.lit(blocks))
+    path = scratch_path(spark, "hits")
+    for block in range(blocks):
+        head = asked.filter(number == block).toArrow()
+        if head.num_rows:
+            _scan(chunks, head, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)

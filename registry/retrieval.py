@@ -8,7 +8,7 @@ from millrace import lookups
 from millrace.operators import embed as E, ivf
 from millrace.operators.search import search
 from millrace.plans import documents as D, prices as P, retrieve as R
-from millrace.session import scratch_path
+from millrace.session import scratch_path, stable
 from millrace.sinks.files import write_table
 from registry.book import query
 from registry.docs import KIND_COUNTS, corpus
@@ -129,6 +129,50 @@ def _(d):
     return ivf.ivf_search(d.spark, requests, path, probes=8)
 
 
+def _embedded(table, key):
+    """DuckDB: (key, place, w) of the texts' vectors, as emb01 has them."""
+    return f"""select {key} as id, place, cast(cast(n / sqrt(sum(n * n) over (partition by {key})) as float) as double) as w from (
+ select {key}, cast(cast(concat('0x', substr(md5(word), 1, 8)) as ubigint) % 64 as int) as place, count(*) as n
+ from (select {key}, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as word from {table}) group by 1, 2)"""
+
+
+_NEAR = f"""
+with e as ({_embedded('documents', 'doc_id')}), el as (select id, sqrt(sum(w * w)) as l from e group by id),
+q as ({_embedded('benchmark', 'item_id')}), ql as (select id, sqrt(sum(w * w)) as l from q group by id),
+near as (select q.id as request_id, e.id, round(sum(q.w * e.w) / any_value(ql.l * el.l), 9) as similarity
+ from q join ql on q.id = ql.id join e on e.place = q.place join el on e.id = el.id group by 1, 2),
+top as (select *, row_number() over (partition by request_id order by similarity desc, id) as rn from near qualify rn <= 10)"""
+
+
+@query("vec06_fitted_recall", _NEAR + """
+select request_id, count(*) as wanted, round(max(similarity), 6) as best, true as enough from top where request_id % 2 = 1 group by 1""")
+def _(d):
+    """A fitted index over every document, probes chosen by the even questions, recall at 10 measured on the odd ones."""
+    path = scratch_path(d.spark, "ivf")
+    chunks = stable(E.embed(d.fx_chunks.drop("embedding")).drop("text"))
+    train = chunks.orderBy(F.xxhash64("id"), "id").limit(20_000)
+    ivf.build_ivf(chunks, path, train=train)
+    asked = stable(E.embed(d.benchmark.select(c("item_id").alias("request_id"), "text"), out="vector").drop("text"))
+    ivf.calibrate(d.spark, path, 10, requests=asked.filter("request_id % 2 = 0"))
+    asked = asked.filter("request_id % 2 = 1").withColumn("k", F.lit(10))
+    near = ivf.ivf_search(d.spark, asked, path).select("request_id", "id", F.lit(1).alias("found"))
+    both = search(asked, chunks).join(near, ["request_id", "id"], "left").groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("wanted"), F.round(F.max("similarity"), 6).alias("best"), F.count("found").alias("found"))
+    both = stable(both)
+    enough = both.agg(F.sum("found") / F.sum("wanted") >= ivf.RECALL).first()[0]
+    return both.select("request_id", "wanted", "best", F.lit(enough).alias("enough"))
+
+
+@query("jn12_queries_times_chunks", """
+select a.id as request_id, b.id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 9) as similarity,
+ cast(row_number() over (partition by a.id order by round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 9) desc, b.id) as int) as rank
+from fx_chunks a, fx_chunks b where a.id % 50 = 0 qualify rank <= 5""")
+def _(d):
+    """Every fiftieth chunk asks all chunks, in more blocks than one."""
+    asked = d.fx_chunks.filter("id % 50 = 0").select(c("id").alias("request_id"), c("embedding").alias("vector"), F.lit(5).alias("k"))
+    return search(asked, d.fx_chunks, request_limit=max(1, asked.count() // 3))
+
+
 # -- balanced retrieval -------------------------------------------------------
 
 def _questions(d):

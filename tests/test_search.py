@@ -65,11 +65,11 @@ def make_requests(spark, n=40):
 
 @pytest.mark.parametrize("limit", [4096, 7])
 def test_search_equals_brute_force(spark, limit):
-    """The second limit forces the block join used for more requests than can be shipped."""
+    """The second limit forces the blocks used for more requests than can be shipped."""
     chunks, rows = make_chunks(spark)
     requests, asked = make_requests(spark)
     got = {}
-    for r in search(requests, chunks.repartition(6), request_limit=limit, bucket_rows=100).collect():
+    for r in search(requests, chunks.repartition(6), request_limit=limit).collect():
         got.setdefault(r.request_id, {})[r["rank"]] = (r.id, r.similarity)
     for request in asked:
         want = brute(rows, request)
@@ -78,6 +78,25 @@ def test_search_equals_brute_force(spark, limit):
         assert [s for _, s in sorted((k, v[1]) for k, v in have.items())] == pytest.approx([s for _, s in want])
 
 
+def test_many_requests_are_one_scan_a_block(spark):
+    chunks, rows = make_chunks(spark, 300)
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(5000, DIM))
+    requests = spark.createDataFrame([(i, [float(x) for x in v], 4) for i, v in enumerate(vectors)], "request_id int, vector array<double>, k int")
+    found = search(requests, chunks)
+    assert "CoGroup" not in found._jdf.queryExecution().toString()
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.request_id, []).append((r["rank"], r.id))
+    usable = [r for r in rows if any(r[2])]
+    unit = np.array([r[2] for r in usable])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    scores = np.round(vectors / np.linalg.norm(vectors, axis=1, keepdims=True) @ unit.T, 9)
+    ids = np.array([r[0] for r in usable])
+    for i in range(5000):
+        assert [x for _, x in sorted(got[i])] == list(ids[np.lexsort((ids, -scores[i]))[:4]])
+
+
 def test_zero_request_and_empty_table(spark):
     chunks, _ = make_chunks(spark, 60)
     zero = spark.createDataFrame([("z", [0.0] * DIM, 5)], "request_id string, vector array<double>, k int")
@@ -102,6 +121,21 @@ def test_index_recall_and_completeness(spark, tmp_path):
     assert len(near & exact) / len(exact) >= 0.9
 
 
+def test_probes_are_chosen_by_recall(spark, tmp_path):
+    """Vectors without clusters: few probes lose neighbours, so calibration must ask for many."""
+    rng = np.random.default_rng(9)
+    rows = [(i, f"t{i}", [float(x) for x in rng.normal(size=DIM)], 2014, None, "S", None, None) for i in range(3000)]
+    chunks = spark.createDataFrame(rows, schemas.CHUNK)
+    ivf.build_ivf(chunks, str(tmp_path), lists=30, iterations=5, train=chunks.filter("id < 1000"))
+    asked = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=DIM)], 10) for i in range(120)], "request_id int, vector array<double>, k int")
+    recall = lambda **o: len({(r.request_id, r.id) for r in ivf.ivf_search(spark, asked, str(tmp_path), **o).collect()} & exact) / len(exact)
+    exact = {(r.request_id, r.id) for r in search(asked, chunks).collect()}
+    probes = ivf.calibrate(spark, str(tmp_path), 10)
+    assert recall(probes=1) < 0.9 <= recall() and 1 < probes < 30
+    assert recall(probes=probes) == recall()
+    assert ivf.calibrate(spark, str(tmp_path), 10, requests=asked.limit(0)) == 30
+
+
 def test_embedding(spark):
     texts = ["Gold rose", "gold ROSE!", "silver fell and gold rose", "", None, "..."] * 90
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
