@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace import schemas
 from millrace.operators.rows import dedupe
 from millrace.plans.clean import clean_bars
+from millrace.session import path_exists
 from millrace.sinks.files import write_table
 from millrace.sources.landing import explode_bars
 
@@ -43,11 +44,6 @@ def ingest_envelopes(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None) -> None:
     """Merge a batch of bars into the clean table; only the years it touches are rewritten.
 
@@ -57,7 +53,7 @@ def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None
     """
     spark = batch.sparkSession
     clean = clean_bars(batch, symbols, newest="ingestion_timestamp")
-    if _exists(spark, path):
+    if path_exists(spark, path):
         # One row per calendar year in the batch.
         years = [r.year for r in clean.select("year").distinct().collect()]
         if not years:

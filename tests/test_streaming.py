@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,69 @@ def test_repeats_within_the_delay_are_dropped(spark, tmp_path):
     assert sorted((r.symbol, r.date) for r in out.collect()) == [("A", "d1"), ("A", "d2")]
 
 
+def test_late_trades_are_counted(spark, tmp_path):
+    batches = [
+        [("A", 10.0, 1.0, at(1, 1)), ("B", 1.0, 1.0, at(2))],
+        [("A", 5.0, 1.0, at(9))],
+        [("A", 6.0, 1.0, at(20))],
+        [("A", 99.0, 1.0, at(1, 2)), ("A", 99.0, 1.0, at(1, 3)), ("C", 7.0, 1.0, at(2)), ("A", 5.0, 1.0, at(21))],
+        [("A", 7.0, 1.0, at(30))],
+    ]
+    bars = run_batches(spark, tmp_path, schemas.TRADE, batches, lambda s: B.ohlcv(s, "1 day", "3 days"))
+    late = B.late_trades(spark.read.parquet(str(tmp_path / "src")), bars)
+    assert sorted((r.symbol, r.start.day, r.late) for r in late.collect()) == [("A", 1, 2), ("C", 2, 1)]
+
+
+def land(spark, folder, files, per_batch, hold_days=3.0, pause=0.0):
+    """Files of (symbol, date, value, arrival day) landed once; the rows, and the state's size after each start."""
+    schema = "symbol string, date string, value int, arrival timestamp, year int"
+    src, dst, sizes = str(folder / "src"), str(folder / "dst"), []
+    for rows in files:
+        spark.createDataFrame([(s, d, v, at(a), int(d[:4]) if d else None) for s, d, v, a in rows], schema).coalesce(1).write.mode("append").parquet(src)
+        if per_batch is None:  # a start for each file
+            stream = spark.readStream.schema(schema).parquet(src)
+            q = B.land_once(stream, dst, f"{dst}-cp", ["symbol", "date"], "arrival", "year", hold_days)
+            q.awaitTermination()
+            sizes.append(q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+            time.sleep(pause)
+    if per_batch is not None:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(src)
+        B.land_once(stream, dst, f"{dst}-cp", ["symbol", "date"], "arrival", "year", hold_days).awaitTermination()
+    return sorted((r.symbol, r.date or "", r.value) for r in spark.read.parquet(dst).collect()), sizes
+
+
+WAVES = [
+    [("A", "2020-01-01", 1, 1), ("A", "2020-01-01", 2, 1), ("B", "2021-01-01", 3, 2), ("C", None, 4, 2)],
+    [("A", "2020-01-01", 9, 3), ("B", "2021-01-02", 5, 3), ("C", None, 8, 3)],
+    [("B", "2021-01-02", 7, 4), ("D", "1999-01-01", 6, 4), ("B", "2021-01-02", 6, 4)],
+]
+
+
+def test_each_key_lands_once_however_files_are_batched(spark, tmp_path):
+    want = None
+    for n in (1, 2, 3):
+        (tmp_path / str(n)).mkdir()
+        got, _ = land(spark, tmp_path / str(n), WAVES, n)
+        want = want or got
+        assert got == want
+    assert [(s, d) for s, d, _ in want] == [("A", "2020-01-01"), ("B", "2021-01-01"), ("B", "2021-01-02"), ("C", ""), ("D", "1999-01-01")]
+    assert [v for *_, v in want][1:] == [3, 5, 4, 6] and want[0][2] in (1, 2)
+
+
+def test_state_forgets_and_the_table_does_not(spark, tmp_path):
+    days = [[(f"S{i}", f"2020-01-{1 + k:02d}", k, k + 1) for i in range(40)] for k in range(3)]
+    rows, sizes = land(spark, tmp_path, [*days, days[0], days[0][:1]], None, hold_days=1 / 86_400, pause=2.0)
+    assert len(rows) == 120  # the first day came twice, long after its keys had left the state
+    assert max(sizes) <= 80 and sizes[-1] <= 41, sizes
+
+
+def test_a_batch_written_twice_lands_once(spark, tmp_path):
+    rows = spark.createDataFrame([("A", "2020-01-01", 2020), ("B", None, None)], "symbol string, date string, year int")
+    for _ in range(2):
+        B.append_new(rows, str(tmp_path / "t"), ["symbol", "date"], "year")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
 def envelope(symbol, *bars, kind="STOCK"):
     return json.dumps({"symbol": symbol, "type": kind, "bars": [
         {"t": f"2024-01-{d:02d}T05:00:00Z", "h": p + 1, "l": p - 1, "c": p, "v": 10} for d, p in bars
