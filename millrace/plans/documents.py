@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions import text as X
 from millrace.operators.rows import stack, year_over_year
 from millrace.plans import metrics
+from millrace.session import stable
 
 KEYS = {
     "year_key": "int", "region_key": "int", "socio_indicator_key": "string",
@@ -256,7 +257,10 @@ def corpus(
     first: str | None = None, last: str | None = None, codes: list[str] | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """All documents, each with an id that depends only on its content.
+    """All documents with ids that depend on their content alone.
+
+    ``content_id`` (128 bits) names a document for good: two of them are equal where their
+    content is.  ``id`` is a 64-bit number for searches within one set of chunks.
 
     ``first``, ``last`` and ``codes`` narrow the housing figures; by default all are told.
     """
@@ -272,4 +276,19 @@ def corpus(
         doc_asset_year_over_year(metrics.asset_year_over_year(prices)),
         doc_asset_trend(asset_trends(prices)),
     )
-    return documents.withColumn("id", F.xxhash64("text", *KEYS)).select("id", *documents.columns)
+    content = F.md5(F.to_json(F.struct("doc_kind", "text", *KEYS), {"ignoreNullFields": "false"}))
+    return documents.withColumns({"id": F.xxhash64("text", *KEYS), "content_id": content}).select("id", *documents.columns, "content_id")
+
+
+def corpus_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Documents that only one of two versions has: the row, and ``change`` 'added' or 'removed'.
+
+    A document whose text changed is one of each.  Versions meet by content_id, so nothing but
+    the ids of both is shuffled before the few rows that differ are known.
+    """
+    one, two = (df.select("content_id").distinct() for df in (old, new))
+    gone = stable(one.join(two, "content_id", "left_anti"))
+    come = stable(two.join(one, "content_id", "left_anti"))
+    changed = [df.join(ids, "content_id", "left_semi").dropDuplicates(["content_id"]).withColumn("change", F.lit(word))
+               for df, ids, word in ((new, come, "added"), (old, gone, "removed"))]
+    return changed[0].unionByName(changed[1])

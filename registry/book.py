@@ -10,6 +10,7 @@ from registry.fixtures import Data, oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {}  # the oracles as written, without the views they use
 
 
 def query(name: str, sql: str | None = None):
@@ -18,7 +19,7 @@ def query(name: str, sql: str | None = None):
     def register(func: Callable[[Data], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: func(Data(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = oracle(sql)
+            STATEMENTS[name], ORACLES[name] = sql, oracle(sql)
         return func
 
     return register

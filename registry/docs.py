@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans import documents as D, metrics, prices as P
 from registry.basics import rounded
-from registry.book import query
+from registry.book import STATEMENTS, query
 from registry.lake import gold
 from registry.scalars import f, mag, pct, unit_text
 
@@ -46,13 +46,14 @@ _PLACE = """concat_ws(', ', case when coalesce(neighborhood_name, '') <> '' then
  case when coalesce(city_name, '') <> '' then concat('city of ', city_name) end, case when coalesce(county_name, '') <> '' then concat(county_name, ' County') end,
  case when coalesce(metro_name, '') <> '' then concat(metro_name, ' metro area') end, case when coalesce(state_name, '') <> '' then concat('state of ', state_name) end,
  case when coalesce(state_code, '') <> '' then concat('state code ', state_code) end, case when coalesce(zip_key, '') <> '' then concat('ZIP ', zip_key) end, concat(country_name, ' (', country_code, ')'))"""
+_SOME_CODES = "realestate_indicator_key in ('LRAW', 'CRAW') and date_key between date '1996-01-01' and date '1999-12-31'"
 _HOUSE_WORDS = "case unit when 'USD_CURRENT' then 'US dollars' when 'PERCENTAGE' then 'percent' when 'DAYS' then 'days' else 'units' end"
 
 
 @query("doc03_housing", f"""
 select region_key, realestate_indicator_key, year as year_key, concat('Housing in ', {_PLACE}, ', ', month_name, ' ', year, ' (week ', week_number, '): ', realestate_indicator_key, '-', indicator_name, ', ', indicator_description,
  ', stood at ', {unit_text('value', 'unit')}, ' (', {_HOUSE_WORDS}, '). Level: ', region_type, '.') as text
-from o_housing_figures where realestate_indicator_key in ('LRAW', 'CRAW') and date_key between date '1996-01-01' and date '1999-12-31'""")
+from o_housing_figures where {_SOME_CODES}""")
 def _(d):
     kept = D.recent_housing(P.housing_figures(gold(d)), ["LRAW", "CRAW"], "1996-01-01", "1999-12-31")
     return _text(D.doc_housing(kept), "region_key", "realestate_indicator_key", "year_key")
@@ -133,29 +134,44 @@ def _(d):
     return _text(D.doc_housing_state_year(stats), "realestate_indicator_key", "year_key")
 
 
-def corpus(d):
+def corpus(d, prices=None):
+    """All years and codes."""
     g = gold(d)
-    return D.corpus(
-        P.asset_prices(g), P.indicator_figures(g), P.housing_figures(g), "1996-01-01", "1999-12-31", ["LRAW", "CRAW"]
-    )
+    return D.corpus(P.asset_prices(g) if prices is None else prices, P.indicator_figures(g), P.housing_figures(g))
 
 
-KIND_COUNTS = """
-select 'housing' as doc_kind, count(*) as n from o_housing_figures where realestate_indicator_key in ('LRAW', 'CRAW') and date_key between date '1996-01-01' and date '1999-12-31'
-union all select 'housing_state_year', count(*) from (select 1 from o_housing_figures where date_key between date '1996-01-01' and date '1999-12-31' and state_code is not null group by realestate_indicator_key, state_code, state_name, year having count(*) >= 3)
-union all select 'asset_day', count(*) from o_prices
-union all select 'indicator_year', count(*) from o_indicator_figures
-union all select 'indicator_trend', count(*) from (select 1 from o_indicator_figures group by country_code, series_id having count(*) >= 3)
-union all select 'indicator_year_over_year', count(*) from o_indicator_figures c join o_indicator_figures p on c.country_code = p.country_code and c.series_id = p.series_id and c.year = p.year + 1
-union all select 'asset_month', count(*) from (select distinct asset_key, year, month_number from o_prices)
-union all select 'asset_year', count(*) from (select 1 from o_prices group by asset_key, year having count(*) >= 2)
-union all select 'asset_year_over_year', count(*) from (select distinct asset_key, year from o_prices) c join (select distinct asset_key, year from o_prices) p on c.asset_key = p.asset_key and c.year = p.year + 1
-union all select 'asset_trend', count(*) from (select 1 from o_prices group by asset_key having count(distinct year) >= 3)"""
+_KIND_QUERIES = {
+    "housing": "doc03_housing", "housing_state_year": "doc10_housing_state_year", "asset_day": "doc01_asset_day", "indicator_year": "doc02_indicator_year",
+    "indicator_trend": "doc04_indicator_trend", "indicator_year_over_year": "doc05_indicator_year_over_year", "asset_month": "doc06_asset_month",
+    "asset_year": "doc07_asset_year", "asset_year_over_year": "doc08_asset_year_over_year", "asset_trend": "doc09_asset_trend",
+}
 
 
-@query("doc11_corpus", f"select doc_kind, n as documents, n as ids from ({KIND_COUNTS})")
+def kind_sql(kind: str, prices: str = "o_prices") -> str:
+    """Oracle of all documents of a kind, over all codes and years."""
+    sql = STATEMENTS[_KIND_QUERIES[kind]].replace(_SOME_CODES, "true").replace("date_key between date '1996-01-01' and date '1999-12-31' and ", "")
+    return sql.replace("from o_prices", f"from {prices}")
+
+
+CORPUS = " union all ".join(f"select '{kind}' as doc_kind, text from ({kind_sql(kind)})" for kind in _KIND_QUERIES)
+
+
+@query("doc11_corpus", f"select doc_kind, md5(text) as digest, count(*) as documents from ({CORPUS}) group by 1, 2")
+def _(d):
+    """Every document of every kind by the digest of its text."""
+    return corpus(d).groupBy("doc_kind", F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+_EARLY = "(select * from o_prices where year < 1998)"
+_ASSET_KINDS = [k for k in _KIND_QUERIES if k.startswith("asset")]
+_ONE, _TWO = (" union all ".join(f"select '{kind}' as doc_kind, text from ({kind_sql(kind, prices)})" for kind in _ASSET_KINDS) for prices in (_EARLY, "o_prices"))
+
+
+@query("doc11_changes", f"""
+with one as (select distinct doc_kind, md5(text) as digest from ({_ONE})), two as (select distinct doc_kind, md5(text) as digest from ({_TWO}))
+select *, 'added' as change from (from two except from one) union all select *, 'removed' from (from one except from two)""")
 def _(d):
-    """Documents per kind with the number of distinct ids."""
-    return corpus(d).groupBy("doc_kind").agg(
-        F.count(F.lit(1)).alias("documents"), F.count_distinct("id").alias("ids")
-    )
+    """What the corpus gains and loses when the bars from 1998 on arrive."""
+    prices = P.asset_prices(gold(d))
+    changed = D.corpus_changes(corpus(d, prices.filter("year < 1998")), corpus(d, prices))
+    return changed.select("doc_kind", F.md5("text").alias("digest"), "change")

@@ -11,7 +11,7 @@ from millrace.plans import documents as D, prices as P, retrieve as R
 from millrace.session import scratch_path, stable
 from millrace.sinks.files import write_table
 from registry.book import query
-from registry.docs import KIND_COUNTS, corpus
+from registry.docs import CORPUS, corpus
 from registry.lake import gold
 
 c = F.col
@@ -27,17 +27,6 @@ def _(d):
     return vectors.filter(c("w") != 0).select("doc_id", "place", F.round(c("w").cast("double"), 6).alias("weight"))
 
 
-@query("snk05_store_chunks", f"select doc_kind, n as chunks, 64 as dim, n as stamped from ({KIND_COUNTS})")
-def _(d):
-    """Documents to embedded chunks, written in one atomic job."""
-    path = scratch_path(d.spark, "chunks")
-    write_table(E.embed(corpus(d)).withColumn("created_at", F.current_timestamp()), path)
-    stored = d.spark.read.parquet(path)
-    return stored.groupBy("doc_kind").agg(
-        F.count(F.lit(1)).alias("chunks"), F.min(F.size("embedding")).alias("dim"), F.count("created_at").alias("stamped")
-    )
-
-
 @query("src07_chunk_scan", "select id, year_key, socio_indicator_key, asset_key, len(embedding) as dim from fx_chunks where year_key >= 2018")
 def _(d):
     path = scratch_path(d.spark, "chunk_table")
@@ -136,6 +125,26 @@ def _embedded(table, key):
  from (select {key}, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as word from {table}) group by 1, 2)"""
 
 
+_CHUNKS = f"select doc_kind, md5(text) as digest, text from ({CORPUS})"
+
+
+@query("snk05_store_chunks", f"""
+with c as (select digest, any_value(doc_kind) as doc_kind, any_value(text) as text, count(*) as n from ({_CHUNKS}) group by digest),
+v as ({_embedded('c', 'digest')}), s as (select id, sum((place + 1) * cast(round(w * 1000000) as bigint)) as vector_sum from v group by id)
+select doc_kind, digest, cast(s.vector_sum as bigint) as vector_sum, 0 as embedded_again from c join s on s.id = c.digest""")
+def _(d):
+    """The corpus in two runs, the second with new documents only, and a third that finds nothing to embed."""
+    path = scratch_path(d.spark, "chunks")
+    prices = P.asset_prices(gold(d))
+    E.store_chunks(corpus(d, prices.filter("year < 1998")).filter("doc_kind <> 'asset_trend'"), path)
+    E.store_chunks(corpus(d, prices), path)
+    again = E.store_chunks(corpus(d, prices), path)
+    stored = d.spark.read.parquet(path).filter("created_at is not null")
+    weights = F.zip_with(F.sequence(F.lit(1), F.size("embedding")), "embedding", lambda place, w: place * F.round(w.cast("double") * 1_000_000).cast("bigint"))
+    total = F.aggregate(weights, F.lit(0).cast("bigint"), lambda x, y: x + y)
+    return stored.select("doc_kind", F.md5("text").alias("digest"), total.alias("vector_sum"), F.lit(again).alias("embedded_again")).distinct()
+
+
 _NEAR = f"""
 with e as ({_embedded('documents', 'doc_id')}), el as (select id, sqrt(sum(w * w)) as l from e group by id),
 q as ({_embedded('benchmark', 'item_id')}), ql as (select id, sqrt(sum(w * w)) as l from q group by id),
