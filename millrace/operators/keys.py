@@ -1,9 +1,10 @@
-"""Dense surrogate keys without a single-partition sort."""
+"""Dense surrogate keys without a single-partition sort, and hash keys without collisions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from millrace.functions.hashing import hash_key
 from millrace.session import stable
 
 _LOW_33 = (1 << 33) - 1
@@ -38,3 +39,22 @@ def dense_key(
         .join(F.broadcast(offsets), "_part")
         .select(key.alias(out), *df.columns)
     )
+
+
+def unique_hash_key(df: DataFrame, column: str, out: str, first: str | None = None, tries: int = 16) -> DataFrame:
+    """Add the 32-bit hash of ``column`` (unique in ``df``) as a key that no two rows share.
+
+    Nearly all rows keep the plain hash.  Where values meet in one hash the smallest keeps
+    it - ``first`` before all others - and the rest take the hash of value and number of tries,
+    until all differ.  The key depends on the set of values alone.
+    """
+    order = [F.col("_try"), F.col(column) != F.lit(first) if first is not None else F.lit(0), F.col(column)]
+    now = df.withColumns({"_try": F.lit(0), out: hash_key(F.col(column))})
+    for _ in range(tries):
+        now = stable(now.withColumn("_rn", F.row_number().over(W.partitionBy(out).orderBy(*order))))
+        if not now.filter("_rn > 1").take(1):
+            return now.drop("_rn", "_try")
+        again = F.col("_rn") > 1
+        key = F.when(again, hash_key(F.col(column), F.col("_try") + 1)).otherwise(F.col(out))
+        now = now.withColumn(out, key).withColumn("_try", F.col("_try") + again.cast("int")).drop("_rn")
+    raise ValueError(f"hashes of {column} still collide after {tries} tries")

@@ -8,7 +8,7 @@ from millrace import lookups, schemas
 from millrace.functions import paths
 from millrace.functions.dates import calendar, first_of_year
 from millrace.functions.hashing import content_md5, hash_key
-from millrace.operators.keys import dense_key
+from millrace.operators.keys import dense_key, unique_hash_key
 from millrace.operators.lookup import with_lookup
 from millrace.operators.rows import conform, dedupe, stack, stack_distinct
 from millrace.session import stable
@@ -29,14 +29,14 @@ def dim_time(indicators: DataFrame, housing: DataFrame, bars: DataFrame) -> Data
 def dim_country(indicators: DataFrame, default: tuple[str, str] = lookups.DEFAULT_COUNTRY) -> DataFrame:
     """Countries by code, the default one always among them.
 
-    One name per code (the first in order), so facts cannot fan out.
+    One name per code (the first in order) and one key per code, so facts cannot fan out.
     """
     spark = indicators.sparkSession
     forced = lookups.literal_table(spark, [default], "country_code string, country_name string")
     named = stack_distinct(indicators.select("country_code", "country_name"), forced)
-    return dedupe(named.filter(F.col("country_code").isNotNull()), ["country_code"]).select(
-        hash_key(F.col("country_code")).alias("country_key"), "country_name", "country_code"
-    )
+    once = dedupe(named.filter(F.col("country_code").isNotNull()), ["country_code"])
+    # The default country keeps its plain hash, which dim_region computes for itself.
+    return unique_hash_key(once, "country_code", "country_key", first=default[0]).select("country_key", "country_name", "country_code")
 
 
 def decode_region(df: DataFrame, states: DataFrame) -> DataFrame:

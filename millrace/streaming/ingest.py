@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
@@ -44,6 +46,58 @@ def ingest_envelopes(
     )
 
 
+def _plain(path: Column) -> Column:
+    """A path without its scheme, percent signs resolved, as listings and row metadata write it differently."""
+    return F.url_decode(F.regexp_replace(F.regexp_replace(path, "^[a-z0-9]+:/*", "/"), "[+]", "%2B"))
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], "file string")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder)
+    return listed.select(_plain(F.col("path")).alias("file"))  # contents are not read
+
+
+def audit_files(spark: SparkSession, src: str, landed: str, archive: str) -> DataFrame:
+    """(file, rows, in_place, archived) of every raw file that is or was in ``src``.
+
+    ``file`` is relative to ``src``; ``rows`` says how many rows of the landed table came
+    from it (0: not read), by the provenance each row carries.
+    """
+    def under(folder: str) -> Column:
+        return F.expr(f"substring(file, length('{_plain_text(folder)}') + 2)").alias("file")
+
+    read = spark.read.parquet(landed).groupBy(_plain(F.col("source_file")).alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    read = read.select(under(src), "rows")
+    here = _files(spark, src).select(under(src), F.lit(True).alias("in_place"))
+    moved = _files(spark, archive).select(under(archive), F.lit(True).alias("archived"))
+    both = here.join(read, "file", "full").join(moved, "file", "full")
+    return both.select("file", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("in_place", F.lit(False)).alias("in_place"),
+                       F.coalesce("archived", F.lit(False)).alias("archived"))
+
+
+def _plain_text(folder: str) -> str:
+    return "/" + re.sub("^[a-z0-9]+:/*", "", folder).strip("/").replace("'", "''")
+
+
+def sweep_landed(spark: SparkSession, src: str, landed: str, archive: str) -> int:
+    """Move every file of ``src`` that has landed to ``archive``; returns how many.
+
+    To be run between two starts of the stream.  Only files whose rows are in the table move,
+    so what was not read, or read by a start that failed before its commit, stays.  A sweep
+    that died is run again.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(src).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = 0
+    # Names only, fetched part by part: a rename is a call to the store, not work on data.
+    for row in audit_files(spark, src, landed, archive).filter("rows > 0 and in_place").select("file").toLocalIterator():
+        target = hadoop.Path(f"{archive}/{row.file}")
+        files.mkdirs(target.getParent())
+        done += files.rename(hadoop.Path(f"{src}/{row.file}"), target)
+    return done
+
+
 def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None) -> None:
     """Merge a batch of bars into the clean table; only the years it touches are rewritten.
 

@@ -159,18 +159,39 @@ def _(d):
     return sinks.publish({"dim_cryptostock_value": values}, scratch_path(d.spark, "serving"))["dim_cryptostock_value"]
 
 
-@query("snk06_remove_read_files", "select symbol, count(*) * case type when 'CRYPTO' then 2 else 1 end as bars from fx_bars group by symbol, type")
+@query("snk06_remove_read_files", """
+with s as (select symbol, case type when 'CRYPTO' then 2 else 1 end as loads, count(*) as n, count(distinct year(date_parsed)) as files from fx_bars group by symbol, type)
+select symbol, n * loads as bars, files * loads as read, files * loads as archived, case loads when 1 then files else 0 end as unread, 0 as left_behind from s""")
 def _(d):
-    from millrace.streaming.ingest import ingest_envelopes
+    """Two loads are read and their files moved away, a third is not: files per symbol by the audit."""
+    from millrace.streaming.ingest import audit_files, ingest_envelopes, sweep_landed
 
     src, dst, archive = (scratch_path(d.spark, n) for n in ("incoming", "landed", "archive"))
+    later = lambda kind, months: d.fx_bars.filter(F.col("type") == kind).withColumn("date_parsed", F.add_months("date_parsed", months))
     sinks.write_envelopes(d.fx_bars, src)
-    for load in range(2):
-        ingest_envelopes(d.spark, src, dst, f"{dst}-checkpoint", archive).awaitTermination()
-        if load == 0:
-            late = d.fx_bars.filter(F.col("type") == "CRYPTO").withColumn("date_parsed", F.add_months("date_parsed", 120))
-            sinks.write_envelopes(late, src, "append")
-    return d.spark.read.parquet(dst).groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"))
+    for load in (later("CRYPTO", 120), later("STOCK", 240)):
+        ingest_envelopes(d.spark, src, dst, f"{dst}-checkpoint").awaitTermination()
+        sweep_landed(d.spark, src, dst, archive)
+        sinks.write_envelopes(load, src, "append")
+    files = audit_files(d.spark, src, dst, archive)
+    symbol = F.replace(F.regexp_extract("file", "safe_symbol=([^/]*?)-[0-9a-f]+/", 1), F.lit("_"), F.lit("/"))
+    return files.groupBy(symbol.alias("symbol")).agg(
+        F.sum("rows").alias("bars"), F.count_if(F.col("rows") > 0).alias("read"), F.count_if(F.col("archived") & (F.col("rows") > 0)).alias("archived"),
+        F.count_if(F.col("in_place") & (F.col("rows") == 0)).alias("unread"), F.count_if(F.col("in_place") & (F.col("rows") > 0)).cast("int").alias("left_behind"))
+
+
+@query("src06_auto_typed", """
+select cast(year(cast(o_orderdate as date)) as int) as year, o_orderstatus, count(*) as orders, round(sum(cast(o_totalprice as double)), 2) as total, max(o_custkey) as customer,
+ max(cast(o_orderdate as date)) as newest, min(o_orderpriority) as priority from orders group by 1, 2""")
+def _(d):
+    """Text of no known type to a view that SQL can calculate with."""
+    path = scratch_path(d.spark, "orders_csv")
+    text = d.orders.withColumns({"o_orderdate": F.col("o_orderdate").cast("date"), "o_totalprice": F.col("o_totalprice").cast("decimal(18,2)")})
+    text.select(*[F.col(c).cast("string") for c in text.columns]).write.option("header", True).csv(path)
+    sources.read_csv_typed(d.spark, path, "typed_orders")
+    return d.spark.sql("""
+select year(o_orderdate) as year, o_orderstatus, count(*) as orders, round(sum(o_totalprice), 2) as total, max(o_custkey) as customer,
+ max(o_orderdate) as newest, min(o_orderpriority) as priority from typed_orders group by 1, 2""")
 
 
 @query("snk07_write_envelopes", """

@@ -297,3 +297,45 @@ def test_scratch_is_emptied(spark, tmp_path, monkeypatch):
         with session.scratch(spark):
             session.stable(spark.range(2))
     assert os.listdir(tmp_path) == []
+
+
+def test_countries_of_one_hash_get_keys_of_their_own(spark):
+    from millrace.functions.hashing import hash_key
+    from millrace.operators.keys import unique_hash_key
+    from millrace.plans.star import dim_country
+
+    codes = spark.range(300_000).select(F.concat(F.lit("C"), "id").alias("code")).withColumn("h", hash_key(F.col("code")))
+    pairs = codes.groupBy("h").agg(F.sort_array(F.collect_list("code")).alias("codes")).filter("size(codes) > 1").collect()
+    assert pairs
+    one, two = pairs[0]["codes"][:2]
+    rows = spark.createDataFrame([(one, "One"), (two, "Two"), ("X", "Other"), (None, "None")], "country_code string, country_name string")
+    keys = {r.country_code: r.country_key for r in dim_country(rows).collect()}
+    assert set(keys) == {one, two, "X", "USA"} and len(set(keys.values())) == 4 and keys[one] == pairs[0]["h"]
+    later = {r.country_code: r.country_key for r in dim_country(rows, default=(two, "Two")).collect()}
+    assert later[two] == pairs[0]["h"] != later[one]
+    whole = unique_hash_key(codes.drop("h"), "code", "key")
+    assert whole.select("key").distinct().count() == 300_000
+    assert whole.filter(hash_key(F.col("code")) == F.col("key")).count() == 300_000 - sum(len(p["codes"]) - 1 for p in pairs)
+
+
+def test_types_are_told_from_all_values(spark, tmp_path):
+    import duckdb
+
+    from millrace.sources.files import read_csv_typed
+
+    rows = [("1", "1.5", "2020-02-29", "2020-01-01 10:00:00", "true", "007", "x", "", "12"), ("-20", "2", "1999-12-31", "2021-05-05 00:00:01", "false", "12", " y", "", "3.5e3"),
+            ("", "", "", "", "", "1", "3", "", "")]
+    path = tmp_path / "t.csv"
+    path.write_text("\n".join(["i,d,day,at,flag,code,text,none,mixed", *(",".join(r) for r in rows)]) + "\n")
+    df = read_csv_typed(spark, str(path), "typed_file")
+    assert dict(df.dtypes) == {"i": "bigint", "d": "double", "day": "date", "at": "timestamp", "flag": "boolean", "code": "string", "text": "string", "none": "string", "mixed": "double"}
+    assert spark.sql("select sum(i), max(day), count(flag), sum(mixed) from typed_file").first()[:] == (-19, dt.date(2020, 2, 29), 2, 3512.0)
+    told = {n: t for n, t, *_ in duckdb.sql(f"describe select * from read_csv('{path}')").fetchall()}
+    for name, kind in (("i", "BIGINT"), ("d", "DOUBLE"), ("day", "DATE"), ("at", "TIMESTAMP"), ("flag", "BOOLEAN"), ("text", "VARCHAR"), ("mixed", "DOUBLE")):
+        assert told[name] == kind
+    bad = tmp_path / "bad.csv"
+    bad.write_text("day,n\n2021-02-30,1\n2021-01-01,99999999999999999999\n")
+    assert dict(read_csv_typed(spark, str(bad)).dtypes) == {"day": "string", "n": "double"}
+    empty = tmp_path / "empty.csv"
+    empty.write_text("a,b\n")
+    assert dict(read_csv_typed(spark, str(empty)).dtypes) == {"a": "string", "b": "string"}

@@ -178,3 +178,20 @@ def test_appended_bars_survive_a_broken_batch(spark, tmp_path):
     one_year = I.current_bars(spark, path).filter("year = 2024")
     assert "PartitionFilters: [isnotnull(year" in one_year._jdf.queryExecution().toString()
     assert rows(one_year) == [want[1], want[3]]
+
+
+def test_audit_and_sweep(spark, tmp_path):
+    src, dst, cp, archive = (str(tmp_path / n) for n in ("in put", "out", "cp", "old"))
+    os.makedirs(f"{src}/x=1 2")
+    go = lambda: I.ingest_envelopes(spark, src, dst, cp).awaitTermination()
+    (tmp_path / "in put" / "a.json").write_text(envelope("AAPL", (2, 10.0), (3, 11.0)))
+    (tmp_path / "in put" / "x=1 2" / "b+c.json").write_text(envelope("MSFT", (2, 10.0)))
+    go()
+    (tmp_path / "in put" / "late.json").write_text(envelope("AAPL", (4, 5.0)))
+    files = lambda: sorted((r.file, r.rows, r.in_place, r.archived) for r in I.audit_files(spark, src, dst, archive).collect())
+    assert files() == [("a.json", 2, True, False), ("late.json", 0, True, False), ("x=1 2/b+c.json", 1, True, False)]
+    assert I.sweep_landed(spark, src, dst, archive) == 2 and I.sweep_landed(spark, src, dst, archive) == 0
+    assert files() == [("a.json", 2, False, True), ("late.json", 0, True, False), ("x=1 2/b+c.json", 1, False, True)]
+    assert os.path.exists(f"{archive}/x=1 2/b+c.json")
+    go()
+    assert files()[1] == ("late.json", 1, True, False) and spark.read.parquet(dst).count() == 4
