@@ -362,3 +362,33 @@ def _(d):
         "question_id", "start_year", "end_year", F.array_join("sub_queries", "|").alias("sub_queries"),
         *[F.array_join(w, " ").alias(w) for w in words],
     )
+
+
+_NATION = "replace(concat(upper(substr(n_name, 1, 1)), lower(substr(n_name, 2))), '_', '')"
+
+
+@query("vec12_names", f"""
+with c as (select n_nationkey as id, concat('stock price of ', {_NATION}, ' Holdings in 2020') as text, concat('N', n_nationkey) as asset_key from nation where n_nationkey % 2 = 0),
+n as (select n_nationkey as nid, concat({_NATION}, ' Holdings') as name, concat({_NATION}, ' Holdings stock price') as text from nation),
+e as ({_embedded('c', 'id')}), el as (select id, sqrt(sum(w * w)) as l from e group by id),
+q as ({_embedded('n', 'nid')}), ql as (select id, sqrt(sum(w * w)) as l from q group by id),
+sim as (select q.id as nid, e.id, round(sum(q.w * e.w) / any_value(ql.l * el.l), 9) as similarity from q join ql on q.id = ql.id join e on e.place = q.place join el on el.id = e.id group by 1, 2),
+best as (select * from sim qualify row_number() over (partition by nid order by similarity desc, id) = 1),
+key as (select n.nid, case when similarity > 0.7 then asset_key else name end as asset from n left join best on best.nid = n.nid left join c on c.id = best.id)
+select s_suppkey as question_id, case when s_suppkey % 3 = 0 then concat('BTC/USD|', asset) when s_suppkey % 3 = 1 then asset else '' end as assets,
+ case when s_suppkey % 3 = 2 then 'socioeconomic' when s_suppkey % 3 = 1 then 'asset' else 'socioeconomic asset' end as data_types
+from supplier join key on nid = s_nationkey""")
+def _(d):
+    """Names that are neither alias nor key: the nearest asset above the floor, else as written."""
+    name = F.expr(_NATION)
+    told = d.nation.filter("n_nationkey % 2 = 0").select(
+        c("n_nationkey").alias("id"), F.concat(F.lit("stock price of "), name, F.lit(" Holdings in 2020")).alias("text"), F.lit(2020).alias("year_key"),
+        F.lit(None).cast("int").alias("region_key"), F.lit(None).cast("string").alias("socio_indicator_key"),
+        F.lit(None).cast("string").alias("realestate_indicator_key"), F.concat(F.lit("N"), c("n_nationkey").cast("string")).alias("asset_key"))
+    chunks = stable(E.embed(told))
+    text = F.when(c("s_suppkey") % 3 == 0, F.concat(F.lit("Did Bitcoin and the shares of "), name, F.lit(" Holdings follow GDP?"))).when(
+        c("s_suppkey") % 3 == 1, F.concat(F.lit("How did the stock of "), name, F.lit(" Holdings do in July 2020?"))).otherwise(
+        F.concat(F.lit("How did inflation move in "), name, F.lit(" Holdings?")))
+    asked = d.supplier.join(d.nation, c("s_nationkey") == c("n_nationkey")).select(c("s_suppkey").alias("question_id"), text.alias("text"))
+    found = R.resolve_names(R.tag_stored_assets(R.analyse_questions(asked), chunks), chunks)
+    return found.select("question_id", F.array_join("assets", "|").alias("assets"), F.array_join("data_types", " ").alias("data_types"))

@@ -189,6 +189,23 @@ def test_stored_assets_are_tagged(spark):
     assert rows[4].countries == ["USA"]
 
 
+def test_names_that_no_list_knows(spark):
+    q = questions(
+        spark, "How did the stock of Berkshire Hathaway do against Apple Inc. in Ohio?", "Is Bank of Nowhere traded? And Berkshire Hathaway shares?",
+        "Tell me about Berkshire Hathaway", "Which shares rose in May 2020?", None,
+    )
+    spans = [r[0] for r in q.orderBy("question_id").select(R.name_spans(c("text"))).collect()]
+    assert spans == [["Berkshire Hathaway"], ["Bank of Nowhere", "Berkshire Hathaway"], ["Berkshire Hathaway"], [], None]
+    told = [(1, "stock price of berkshire hathaway", 2020, None, None, None, "BRK.B"), (2, "weather report of the week", 2020, None, None, None, "RAIN")]
+    ddl = "id int, text string, year_key int, region_key int, socio_indicator_key string, realestate_indicator_key string, asset_key string"
+    chunks = E.embed(spark.createDataFrame(told, ddl))
+    rows = {r.question_id: r for r in R.resolve_names(R.analyse_questions(q), chunks).collect()}
+    assert rows[0].assets == ["AAPL", "BRK.B"] and rows[0].data_types == ["asset"]
+    assert rows[1].assets == ["Bank of Nowhere", "BRK.B"] and rows[1].data_types == ["asset"]
+    assert rows[2].assets == [] and rows[2].data_types == R.CATEGORIES and rows[3].assets == []
+    assert R.resolve_names(R.analyse_questions(q), chunks.limit(0)).filter("question_id = 0").first().assets == ["AAPL", "Berkshire Hathaway"]
+
+
 def test_state_codes(spark):
     q = questions(
         spark, "price in Ohio in 2019", "price in Ohio (OH)", "West Virginia and Ohio", "Arkansas homes", "Kansas", "nothing",
