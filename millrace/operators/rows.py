@@ -26,22 +26,30 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 
 def top_per_key(
-    df: DataFrame, keys: list[str], order: list[Column], limit, rank: str = "rank", salts: int = 0
+    df: DataFrame, keys: list[str], order: list[Column], limit, rank: str = "rank", salts: int = 0,
+    most: int | None = None,
 ) -> DataFrame:
     """The first ``limit`` rows of each key, numbered from 1.
 
     ``limit`` is an int or the name of a column that is constant within a key.  With
     ``salts`` the rows of a key are first cut in that many independent parts, so a
-    key that holds very many rows is never ranked by a single task.
+    key that holds very many rows is never ranked by a single task.  ``most`` says that no
+    limit of the column is larger: then every map task passes on at most so many rows of a
+    key (a limit that differs per key alone cannot be applied before the shuffle).
     """
-    bound = F.lit(limit) if isinstance(limit, int) else F.col(limit)
+    bound = F.lit(limit) if isinstance(limit, int) else F.col(limit) if most is None else F.least(F.col(limit), F.lit(most))
+
+    def kept(name: str) -> Column:
+        within = F.col(name) <= bound
+        return within if most is None else within & (F.col(name) <= F.lit(most))
+
     if salts > 1:
         part = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         window = W.partitionBy(*keys, "_salt").orderBy(*order)
-        df = part.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= bound)
+        df = part.withColumn("_rn", F.row_number().over(window)).filter(kept("_rn"))
         df = df.drop("_rn", "_salt")
     window = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= bound)
+    return df.withColumn(rank, F.row_number().over(window)).filter(kept(rank))
 
 
 def year_over_year(df: DataFrame, keys: list[str], year: str, values: list[str]) -> DataFrame:

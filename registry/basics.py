@@ -639,14 +639,14 @@ def _(d):
 @query("win04_quota", """
 select l_returnflag as category, l_orderkey, l_linenumber, price, cast(rn as int) as position from (
  select *, row_number() over (partition by l_returnflag order by price desc, l_orderkey, l_linenumber, l_partkey) as rn
- from (select l_returnflag, l_orderkey, l_linenumber, l_partkey, cast(l_extendedprice as decimal(18,2)) as price from lineitem)) where rn <= greatest(10, 100 // 3)""")
+ from (select l_returnflag, l_orderkey, l_linenumber, l_partkey, cast(l_extendedprice as decimal(18,2)) as price from lineitem)) where rn <= case l_returnflag when 'A' then 10 when 'N' then 33 else 20 end""")
 def _(d):
     order = [F.desc("price"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")]
     line = d.lineitem.withColumns({
         "price": F.col("l_extendedprice").cast("decimal(18,2)"),
-        "quota": F.greatest(F.lit(10), F.floor(F.lit(100) / 3).cast("int")),
+        "quota": F.when(F.col("l_returnflag") == "A", 10).when(F.col("l_returnflag") == "N", 33).otherwise(20),
     })
-    kept = rows.top_per_key(line, ["l_returnflag"], order, "quota", rank="position", salts=8)
+    kept = rows.top_per_key(line, ["l_returnflag"], order, "quota", rank="position", salts=8, most=33)
     return kept.select(F.col("l_returnflag").alias("category"), "l_orderkey", "l_linenumber", "price", "position")
 
 

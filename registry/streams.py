@@ -101,3 +101,13 @@ def _(d):
         stream = d.spark.readStream.schema(stamped.drop("load_id").schema).parquet(src)
         I.maintain_clean_bars(stream, dst, f"{dst}-checkpoint", SYMBOLS).awaitTermination()
     return I.current_bars(d.spark, dst).drop("ingestion_timestamp")
+
+
+@query("str04_upsert_in_place", "select symbol, type, date, high, low, last, volume, date_parsed, year from sv_bars")
+def _(d):
+    """Two loads merged into the clean table, the second twice as a retried batch is."""
+    path = scratch_path(d.spark, "clean_bars")
+    stamped = d.fx_raw_bars.withColumn("ingestion_timestamp", F.timestamp_seconds(c("load_id")))
+    for load in (1, 2, 2):
+        I.upsert_by_year(stamped.filter(c("load_id") == load).drop("load_id"), path, SYMBOLS)
+    return d.spark.read.parquet(path).drop("ingestion_timestamp")

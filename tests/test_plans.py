@@ -76,3 +76,12 @@ def test_scans_read_only_needed_columns(spark):
 def test_search_does_not_read_text_without_text_filters(spark):
     plan = plan_of(QUERIES["vec01_top_k"](spark, SF))
     assert not re.search(r"FileScan parquet \[[^\]]*text", plan)
+
+
+def test_quota_that_differs_per_key_is_limited_before_the_shuffle(spark):
+    from millrace.operators.rows import top_per_key
+
+    rows = spark.range(10_000).selectExpr("id % 3 as k", "id as v", "cast(id % 3 * 5 + 2 as int) as quota")
+    got = top_per_key(rows, ["k"], [F.col("v")], "quota", most=12)
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r["count"]) for r in got.groupBy("k").count().collect()} == {(0, 2), (1, 7), (2, 12)}
