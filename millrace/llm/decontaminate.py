@@ -1,10 +1,11 @@
 """Passages of test items in training texts: rare n-gram seeds, then local alignment.
 
-Words are letters and digits, lower-cased.  Every item offers its word n-grams; the
-corpus is counted once for them, and the rarest ``share`` of each item's n-grams (at
-least ``LEAST``) are its seeds.  The choice is by rank within the item, so an item that
-stands in very many texts keeps its seeds all the same.  A text that holds a seed is
-aligned with the item around the seed's diagonal by Smith-Waterman (match 2, mismatch
+Words are letters and digits, lower-cased.  Every item offers three words in a row, and
+three of four with one of the inner two left open, so that every third word of a copy may
+be another; the corpus is counted once for them.  Those that stand in no text open nothing
+and are left out; of the others the rarest ``share`` of each item's (at least ``LEAST``)
+are its seeds.  The choice is by rank within the item, so an item that stands in very
+many texts keeps its seeds all the same.  A text that holds a seed is aligned with the item around the seed's diagonal by Smith-Waterman (match 2, mismatch
 and gap -1); the score is the alignment's share of a perfect one.
 
 A text holds an item if the score reaches ``threshold``, or ``SHORT`` words of an item so
@@ -26,9 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.arrow import byte_set, chunks, grams, with_result, words_of
+from millrace.llm.arrow import byte_set, chunks, grams, mix, with_result, words_of
 
 GRAM = 3
+# Places of a seed's words by the number of its shape; 1 to GRAM are that many words in a row.
+GAPPED = {11: (0, 1, 3), 12: (0, 2, 3)}
 SHARE = 0.75
 LEAST = 8
 THRESHOLD = 0.3
@@ -41,6 +44,21 @@ RESULT = "hits array<struct<item_id:bigint,score:double,first_word:bigint,last_w
 _LETTERS = byte_set("letters")
 
 
+def _shape(words, shape: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the first word, hash) of every seed of a shape inside one text."""
+    if shape not in GAPPED:
+        return grams(words, shape)
+    places = GAPPED[shape]
+    count = len(words.hash) - places[-1]
+    if count <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    at = np.flatnonzero(words.doc[:count] == words.doc[places[-1]:])
+    value = np.full(len(at), shape, np.uint64)
+    for k in places:
+        value = value * np.uint64(0xD6E8FEB86659FD93) + words.hash[at + k]
+    return at, mix(value)
+
+
 class Items:
     """Word hashes of some items, and the n-grams that open an alignment."""
 
@@ -56,9 +74,9 @@ class Items:
         # Items shorter than an n-gram are sought as a whole.
         rows = []
         for item, w in enumerate(self.words):
-            n = min(gram, len(w))
-            _, value = grams(_as_words(w), n)
-            rows.append((np.full(len(value), n), np.full(len(value), item), np.arange(len(value)), value))
+            for shape in (min(gram, len(w)), *GAPPED):
+                _, value = _shape(_as_words(w), shape)
+                rows.append((np.full(len(value), shape), np.full(len(value), item), np.arange(len(value)), value))
         size, item, place, value = (np.concatenate(x) for x in zip(*rows)) if rows else [np.empty(0, np.int64)] * 3 + [np.empty(0, np.uint64)]
         order = np.lexsort((place, item, value, size))
         self.size, self.item, self.place, self.value = size[order], item[order], place[order], value[order]
@@ -75,15 +93,15 @@ class Items:
     def found(self, words):
         """(size, word number, seed number) of every n-gram of the texts that is a seed."""
         for n, (value, rows, cut) in self.seeds.items():
-            at, g = grams(words, n)
+            at, g = _shape(words, n)
             slot = np.searchsorted(value, g)
             slot[slot == len(value)] = 0
             hit = np.flatnonzero(value[slot] == g)
             yield n, at[hit], slot[hit]
 
     def keep_rare(self, frequency: dict[tuple[int, int], int], share: float = SHARE, least: int = LEAST) -> "Items":
-        """Keep the rarest n-grams of each item, and the rarest of every run of ``ERROR + 1`` words, as its seeds,
-        given the texts that hold (size, seed number)."""
+        """Keep the rarest seeds of each item that stand in a text, and the rarest words in a row of every run of
+        ``ERROR + 1`` words, given the texts that hold (shape, seed number)."""
         count = np.zeros(len(self.value), np.int64)
         for n, (value, rows, cut) in self.seeds.items():
             per = np.array([frequency.get((n, s), 0) for s in range(len(value))], np.int64)
@@ -93,13 +111,17 @@ class Items:
         self.alive[:] = False
         for i in range(len(self.words)):
             mine = order[start[i]:start[i + 1]]
-            self.alive[mine[: max(least, math.ceil(share * len(mine)))]] = True
+            there = mine[count[mine] > 0]
+            self.alive[there[: max(least, math.ceil(share * len(there)))]] = True
             wide = max(1, ERROR + 2 - self.gram)
-            if len(self.words[i]) >= STRETCH and len(mine) >= wide:
-                rank = np.empty(len(mine), np.int64)
-                rank[self.place[mine]] = np.arange(len(mine))
-                first = np.lib.stride_tricks.sliding_window_view(rank, wide).min(1)
-                self.alive[mine[np.unique(first)]] = True
+            plain = mine[self.size[mine] == self.gram]
+            if len(self.words[i]) >= STRETCH and len(plain) >= wide:
+                rank = np.empty(len(plain), np.int64)
+                rank[self.place[plain]] = np.arange(len(plain))
+                runs = np.lib.stride_tricks.sliding_window_view(rank, wide)
+                # A run with a part that stands nowhere stands nowhere itself.
+                runs = runs[(count[plain][runs] > 0).all(1)]
+                self.alive[plain[np.unique(runs.min(1))]] = True
         self._index()
         return self
 

@@ -398,6 +398,39 @@ def test_leaks(spark, block_bytes):
     assert next(r for r in got if r["item_id"] == 0)["score"] == 1.0
 
 
+def test_edited_copies_against_alignment_of_all_pairs(spark):
+    """Items with every third to fifth word replaced, dropped or put in, among texts that share their common phrases."""
+    dice = random.Random(21)
+    words = [f"w{k}" for k in range(400)]
+    word = lambda: words[min(int(dice.paretovariate(0.6)) - 1, 399)]
+    items = [[word() for _ in range(dice.randint(18, 40))] for _ in range(40)]
+    texts = [[word() for _ in range(150)] for _ in range(100)]
+    for k, item in enumerate(items):
+        for step in (3, 4, 5):
+            copy = []
+            for i, w in enumerate(item):
+                change = dice.choice("rrdi") if i % step == step - 1 else ""
+                copy += [] if change == "d" else [f"n{dice.randrange(10**6)}"] if change == "r" else [w, f"n{dice.randrange(10**6)}"] if change else [w]
+            texts.append(texts[k][:60] + copy + texts[k + 30][:60])
+    # A paraphrase that keeps pairs and single words of an item only.
+    item = "the three clerks counted all the silver coins in the old vault before the inspector came back from his long lunch".split()
+    items.append(item)
+    texts.append("then the three other clerks counted nearly all silver coins found in the vault well before the inspector came home from his lunch".split())
+    rows = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id bigint, text string")
+    got = decontaminate.search(docs_of(spark, [" ".join(t) for t in texts]), rows, carry=["doc_id"]).select("doc_id", F.explode("leaks.hits").alias("h"))
+    got = {(r["doc_id"], r["h"]["item_id"]) for r in got.collect()}
+    number = {w: k + 1 for k, w in enumerate({w for t in items + texts for w in t})}
+    code = lambda ws: np.array([number[w] for w in ws], np.uint64)
+    pairs = [(d, i) for d in range(len(texts)) for i in range(len(items))]
+    score, _ = decontaminate.align([code(items[i]) for _, i in pairs], [code(texts[d]) for d, _ in pairs])
+    share = {p: s / (2 * len(items[p[1]])) for p, s in zip(pairs, score)}
+    want = {p for p, x in share.items() if x >= max(decontaminate.THRESHOLD, min(1, decontaminate.SHORT / len(items[p[1]])))}
+    planted = {(100 + 3 * k + s, k) for k in range(40) for s in range(3)} | {(220, 40)}
+    assert len(want & planted) > 90 and (220, 40) in want
+    assert got <= want or all(share[p] >= 0.2 for p in got - want)
+    assert len(got & want & planted) >= 0.98 * len(want & planted) and len(got & want) >= 0.9 * len(want)
+
+
 def test_stretches_of_long_items_and_short_items(spark):
     dice = random.Random(12)
     word = lambda: "".join(dice.choice("abcdefghijklm") for _ in range(6))
