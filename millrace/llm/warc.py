@@ -6,9 +6,9 @@ of it.  Every task cuts its records into archives of about ``ARCHIVE_BYTES``, so
 can be read as one value.
 
 The index sorts captures by URL key (host reversed), then archive and place, into blocks
-of ``LINES`` compressed lines.  A sparse directory has one row per block.  A request is
-answered by binary search in the shards' bounds, in the directory of the shards it needs,
-and in the block; then only the record's bytes are read.
+of ``LINES`` compressed lines.  A sparse directory has one row per block.  Requests are a
+table; tasks answer them by binary search in the shards' bounds, in the directory of the
+shards they need, and in the blocks; then only the records' bytes are read.
 """
 
 from __future__ import annotations
@@ -17,8 +17,12 @@ import bisect
 import hashlib
 import re
 import zlib
+from typing import Callable
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.session import scratch_path, stable
@@ -26,6 +30,7 @@ from millrace.session import scratch_path, stable
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 8 << 20
 LINES = 512
+READ_BYTES = 64 << 20
 END = "\r\n\r\n"
 CAPTURES = ("key string, url string, page_id bigint, record_type string, payload_bytes bigint, payload_digest string, "
             "refers_to bigint, archive string, offset bigint, length bigint")
@@ -206,41 +211,128 @@ def all_captures(spark: SparkSession, path: str) -> DataFrame:
     return _tables(spark, path)[0].select("data").mapInArrow(unpack, CAPTURES)
 
 
-def lookup(spark: SparkSession, path: str, urls: list[str]) -> list[tuple]:
-    """Captures of a list of URLs, by request, archive and offset; what is read follows the requests.
+def _covering(firsts: list, ranges: list, key: str) -> list:
+    """The sorted (first, last, ...) ranges that hold ``key``; ranges follow each other and share only their edges."""
+    at, held = bisect.bisect_right(firsts, key) - 1, []
+    while at >= 0 and ranges[at][1] >= key:
+        held.append(ranges[at])
+        at -= 1
+    return held
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store that holds ``uri`` and the path in it, for reads inside tasks: local, hdfs, s3, gs and abfs addresses."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), "/" + (rest if colon else uri).lstrip("/")
+    return fs.FileSystem.from_uri(scheme.replace("s3a", "s3") + ":" + quote(rest, safe="/:@"))
+
 
-    Unknown URLs have none.  A null URL asks for captures without one.
+def find(requests: DataFrame, path: str, url: str = "url", store: Callable = open_store) -> DataFrame:
+    """The index's captures of the URLs in ``requests``, each capture once however often its URL is asked for.
+
+    Tasks search the shards' bounds (one pair a shard, sent along), then the directory of the
+    shards their keys fall in, then the blocks, which meet their keys in a join; so only keys and
+    hit blocks are shuffled.  A URL that very many captures share lies in many blocks, and these
+    are spread over tasks.  Unknown URLs have no rows.  A null URL asks for captures without one.
     """
+    spark = requests.sparkSession
     blocks, directory = _tables(spark, path)
-    bounds = [tuple(r) for r in directory.groupBy("shard").agg(F.min("first_key").alias("low"), F.max("last_key")).orderBy("low", "shard").collect()]
-    lows, keys = [b[1] for b in bounds], [url_key(u) for u in urls]
-    wanted = set()
-    for key in keys:
-        # Ranges follow each other; only their edges may share a key.
-        at = bisect.bisect_right(lows, key) - 1
-        while at >= 0 and bounds[at][2] >= key:
-            wanted.add(bounds[at][0])
-            at -= 1
-    if not wanted:
-        return []
-    rows = directory.filter(F.col("shard").isin(sorted(wanted))).select("first_key", "last_key", "shard", "block").collect()
-    rows = sorted(tuple(r) for r in rows)
-    firsts, need = [r[0] for r in rows], set()
-    for key in keys:
-        at = bisect.bisect_right(firsts, key) - 1
-        while at >= 0 and rows[at][1] >= key:
-            need.add(rows[at][2:])
-            at -= 1
-    chosen = blocks.filter(F.col("shard").isin(sorted({s for s, _ in need})) & F.struct("shard", "block").isin(
-        [F.struct(F.lit(s).alias("shard"), F.lit(b).alias("block")) for s, b in sorted(need)])) if need else blocks.limit(0)
+    bounds = sorted((r["low"], r["high"], r["shard"]) for r in
+                    directory.groupBy("shard").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high")).collect())
+    bounds.sort(key=lambda r: (r[0], r[2]))
+    lows, folder = [r[0] for r in bounds], f"{path}/directory"
+
+    def to_shards(batches):
+        for batch in batches:
+            rows = [(r[2], key) for key in {url_key(u) for u in batch.column(0).to_pylist()} for r in _covering(lows, bounds, key)]
+            if rows:
+                shards, keys = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(keys, pa.string())], names=["shard", "key"])
+
+    def to_blocks(batches):
+        held, firsts, ranges = None, [], []
+        for batch in batches:
+            asked: dict[tuple, list] = {}
+            for shard, key in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != held:
+                    place, at = store(f"{folder}/shard={shard}")
+                    files = [f.path for f in place.get_file_info(fs.FileSelector(at)) if f.path.endswith(".parquet")]
+                    columns = [pq.ParquetFile(place.open_input_file(f)).read(["first_key", "last_key", "block"]) for f in files]
+                    ranges = sorted((r for t in columns for r in zip(*(c.to_pylist() for c in t.columns))), key=lambda r: (r[0], r[2]))
+                    held, firsts = shard, [r[0] for r in ranges]
+                for r in _covering(firsts, ranges, key):
+                    asked.setdefault((shard, r[2]), []).append(key)
+            if asked:
+                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in asked], pa.int32()), pa.array([b for _, b in asked], pa.int32()),
+                                                  pa.array(list(asked.values()), pa.list_(pa.string()))], names=["shard", "block", "keys"])
+
+    def to_captures(batches):
+        for batch in batches:
+            for asked, data in zip(*(batch.column(k) for k in (0, 1))):
+                lines, rows = _lines(data.as_py()), []
+                names = [x[0] for x in lines]
+                for key in asked.as_py():
+                    low = bisect.bisect_left(names, key)
+                    rows += lines[low:bisect.bisect_right(names, key, low)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_FIELDS)
+
+    # Distinct before the sort, so a URL asked for very often is one row; sorted, so a task meets few shards.
+    asked = requests.select(url).distinct().mapInArrow(to_shards, "shard int, key string").distinct()
+    asked = asked.repartitionByRange("shard", "key").sortWithinPartitions("shard", "key").mapInArrow(to_blocks, "shard int, block int, keys array<string>")
+    hit = asked.join(blocks.select("shard", "block", "data"), ["shard", "block"])
+    return hit.select("keys", "data").mapInArrow(to_captures, CAPTURES)
+
+
+def search(requests: DataFrame, path: str, url: str = "url", payload: bool = True, store: Callable = open_store) -> DataFrame:
+    """``find``, and then each capture's record by a range read of its archive, checked against its line of the index.
+
+    ``payload`` adds the stored bytes (null for a revisit, whose response holds them).  Reads are dealt
+    by archive and offset into tasks of about ``READ_BYTES``, whatever the archives' sizes.
+    """
+    found = stable(find(requests, path, url, store))
+    total = found.agg(F.sum("length")).first()[0] or 0
+
+    def records(batches):
+        place, source, opened = None, None, None
+        for batch in batches:
+            rows, filled = [], 0
+            for line in zip(*(c.to_pylist() for c in batch.columns)):
+                archive, offset, length = line[-3:]
+                if archive != opened:
+                    if source is not None:
+                        source.close()
+                    place, at = store(archive)
+                    source, opened = place.open_input_file(at), archive
+                _, size, headers, block = next(parse(source.read_at(length, offset)))
+                got = capture(archive, offset, size, headers, block)
+                if got != line:
+                    raise ValueError(f"the record at byte {offset} of {archive} is not the one indexed")
+                rows.append((*got, block.partition(END.encode())[2] if payload and got[3] == "response" else None))
+                filled += length
+                if filled >= READ_BYTES // 8:
+                    yield made(rows)
+                    rows, filled = [], 0
+            if rows:
+                yield made(rows)
+        if source is not None:
+            source.close()
+
+    def made(rows):
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), [*_TYPES, pa.binary()])]
+        return pa.RecordBatch.from_arrays(columns, names=[*_FIELDS, "payload"])
+
+    dealt = found.repartitionByRange(1 + total // READ_BYTES, "archive", "offset").sortWithinPartitions("archive", "offset")
+    return dealt.mapInArrow(records, CAPTURES + ", payload binary")
+
+
+def lookup(spark: SparkSession, path: str, urls: list[str]) -> list[tuple]:
+    """``find`` for a few URLs at hand: their captures by request, archive and offset, as a list."""
     held: dict[str, list] = {}
-    for (data,) in chosen.select("data").collect():
-        lines = _lines(bytes(data))
-        names = [x[0] for x in lines]
-        for key in set(keys):
-            low = bisect.bisect_left(names, key)
-            held.setdefault(key, []).extend(lines[low:bisect.bisect_right(names, key)])
-    return [c for key in keys for c in sorted(held.get(key, []), key=lambda c: c[-3:-1])]
+    for row in find(spark.createDataFrame([(u,) for u in urls], "url string"), path).collect():
+        held.setdefault(row["key"], []).append(tuple(row))
+    return [c for u in urls for c in sorted(held.get(url_key(u), []), key=lambda c: c[-3:-1])]
 
 
 def fetch(spark: SparkSession, found: tuple) -> bytes:
@@ -257,9 +349,12 @@ def fetch(spark: SparkSession, found: tuple) -> bytes:
 
 
 def round_trip(pages: DataFrame, label: str = "warc") -> DataFrame:
-    """Archive ``pages``, read the archives back, index them, and return the index's captures."""
+    """Archive ``pages``, index the archives, and search the index for the URLs of all pages.
+
+    Every row is a record that was found through the directory and read from its archive by range.
+    """
     spark = pages.sparkSession
     base = scratch_path(spark, label)
     write(pages, f"{base}/archives")
     build_index(read(spark, f"{base}/archives"), f"{base}/index")
-    return all_captures(spark, f"{base}/index")
+    return search(pages, f"{base}/index", payload=False)

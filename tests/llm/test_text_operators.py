@@ -323,6 +323,41 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.round_trip(rows.limit(0)).count() == 0
 
 
+def test_search_of_archives_against_all_captures(spark, tmp_path):
+    dice = random.Random(12)
+    hosts = [f"http://h{i % 7}.example.org/p/{i // 7}" for i in range(200)]
+    urls = [None if i % 50 == 3 else "http://hot.example.org/" if i % 3 == 0 else dice.choice(hosts) for i in range(900)]
+    texts = [dice.choice(["", "short", "w " * 80, f"own text {i} " * 30]) for i in range(900)]
+    pages = spark.createDataFrame(list(zip(range(900), urls, texts)), "page_id bigint, url string, html string").repartition(5)
+    warc.write(pages, str(tmp_path / "a"), archive_bytes=20_000)
+    warc.build_index(warc.read(spark, str(tmp_path / "a")).repartition(6), str(tmp_path / "i"), lines=8)
+    blocks = spark.read.parquet(str(tmp_path / "i/directory")).filter("first_key = 'org,example,hot)/' and last_key = first_key")
+    assert blocks.count() > 20
+    # Repeated, unknown and null requests, and a column with a name of the index.
+    asked = hosts[:90] + ["http://hot.example.org/"] * 40 + [f"http://h1.example.org/none/{i}" for i in range(60)] + [None]
+    requests = spark.createDataFrame([(u, "x") for u in asked], "url string, key string")
+    wanted = {warc.url_key(u) for u in asked}
+    want = sorted(i for i in range(900) if warc.url_key(urls[i]) in wanted)
+    assert len(want) > 400
+    found = warc.search(requests, str(tmp_path / "i")).collect()
+    assert sorted(r["page_id"] for r in found) == want
+    assert sorted(r["page_id"] for r in warc.find(requests, str(tmp_path / "i")).collect()) == want
+    for r in found:
+        assert r["payload_bytes"] == len(texts[r["page_id"]])
+        assert (r["payload"] is None) == (r["record_type"] == "revisit")
+        assert r["payload"] is None or bytes(r["payload"]).decode() == texts[r["page_id"]]
+        assert r["refers_to"] is None or texts[r["refers_to"]] == texts[r["page_id"]]
+    assert warc.search(requests.limit(0), str(tmp_path / "i")).count() == 0
+    assert warc.search(spark.createDataFrame([("http://no.where/",)], "url string"), str(tmp_path / "i")).count() == 0
+    # A record whose bytes changed after indexing is an error, not a result.
+    one = next(r for r in found if r["payload"] and r["record_type"] == "response")
+    with open(one["archive"].removeprefix("file:"), "r+b") as f:
+        f.seek(one["offset"] + one["length"] - 5)
+        f.write(b"#")
+    with pytest.raises(Exception, match="is damaged"):
+        warc.search(spark.createDataFrame([(one["url"],)], "url string"), str(tmp_path / "i")).collect()
+
+
 def test_secrets(spark):
     dice = random.Random(6)
     key = lambda: "".join(dice.choice("0123456789abcdef") for _ in range(40))
