@@ -2,13 +2,17 @@
 
 A block is a line (or a paragraph); block and template are sets of lower-cased words.
 A pair is a match if the block holds at least ``threshold`` of the template's words.
+With ``run`` the blocks are lines and, for every template of n words, all runs of
+n / ``threshold`` words in a row, whatever lines and comment signs they stand in; so a
+notice is found however it is wrapped.
 Template words are ordered by how many blocks of the whole corpus hold them, rarest
 first.  Then, without losing a match:
 
 * prefix: a template of n words that needs k of them shares one of its n - k + 1 rarest
   words with every matching block, so only those words open a pair;
 * length: a block of fewer than k words is no match;
-* position: what is left in both orders from the shared word on must reach k.
+* position: what is left in both orders from the shared word on must reach k; of a run,
+  only words less than its length from a shared word can be in it.
 
 Pairs that remain are counted exactly.  Templates are a parameter of known, small size
 and travel with the tasks; the corpus is never shuffled.  Beside the join, phrases
@@ -63,11 +67,13 @@ class Scan:
     """Templates and phrases prepared for a scan; ``rank`` orders their words, rarest first."""
 
     def __init__(self, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD, block: str = "line"):
-        if block not in ("line", "paragraph") or not 0 < threshold <= 1:
-            raise ValueError("block is line or paragraph, threshold in (0, 1]")
+        if block not in ("line", "paragraph", "run") or not 0 < threshold <= 1:
+            raise ValueError("block is line, paragraph or run, threshold in (0, 1]")
         self.block = block
         self.labels = [label for label, _ in templates]
-        sets = [np.unique(_hashes(text)) for _, text in templates]
+        hashes = [_hashes(text) for _, text in templates]
+        self.length = [math.floor(len(h) / threshold + 1e-9) for h in hashes]
+        sets = [np.unique(h) for h in hashes]
         self.vocabulary = np.unique(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
         self.member = np.zeros((len(sets), len(self.vocabulary)), bool)
         for t, words in enumerate(sets):
@@ -90,7 +96,7 @@ class Scan:
 
     def blocks(self, data, words):
         """The number of each word's block, rising with the text."""
-        if self.block == "line":
+        if self.block != "paragraph":
             cut = np.flatnonzero(data == 10)
         else:
             # A paragraph ends where a second line feed follows, blanks between them aside.
@@ -99,17 +105,22 @@ class Scan:
             cut = solid[1:][feeds[1:] & feeds[:-1]] if len(solid) > 1 else solid[:0]
         return np.searchsorted(cut, words.start) + words.doc
 
-    def holdings(self, data, offsets):
-        """Words, their blocks, and the distinct (block, template word) pairs as two arrays."""
-        words = words_of(data, offsets, _LETTERS, lower=True)
-        block = self.blocks(data, words)
+    def known(self, words):
+        """(word number, template word) of every word of the texts that some template has."""
         if not len(self.vocabulary) or not len(words.hash):
-            return words, block, np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         at = np.searchsorted(self.vocabulary, words.hash)
         at[at == len(self.vocabulary)] = 0
         hit = np.flatnonzero(self.vocabulary[at] == words.hash)
-        keys = np.unique(block[hit].astype(np.int64) * len(self.vocabulary) + at[hit])
-        return words, block, keys // len(self.vocabulary), keys % len(self.vocabulary)
+        return hit, at[hit]
+
+    def holdings(self, data, offsets):
+        """Words, their blocks, and the distinct (block, template word) pairs as two arrays."""
+        words = words_of(data, offsets, _LETTERS, lower=True)
+        block = self.blocks(data, words)
+        hit, token = self.known(words)
+        keys = np.unique(block[hit].astype(np.int64) * max(1, len(self.vocabulary)) + token)
+        return words, block, keys // max(1, len(self.vocabulary)), keys % max(1, len(self.vocabulary))
 
     def matches(self, words, block, owner, token):
         """(block, template, containment) of every block that reaches a template's need."""
@@ -149,6 +160,34 @@ class Scan:
         good = common >= self.need[template]
         return ids[pair[good]], template[good], common[good] / self.size[template[good]]
 
+    def runs(self, words):
+        """(first word number, template, containment): each text's best run for every template that has one."""
+        found = []
+        hit, token = self.known(words)
+        for t, (length, need) in enumerate(zip(self.length, self.need)):
+            inside = self.member[t][token] if len(token) else np.empty(0, bool)
+            place, word = hit[inside], token[inside]
+            # Prefix and position: a rare word of the template is less than a run away.
+            rare = place[self.opens[t][word]]
+            near = np.searchsorted(rare, place - length, "right") < np.searchsorted(rare, place + length)
+            place, word = place[near], word[near]
+            # Length: the run that ends at a word holds enough words of the template.
+            low = np.searchsorted(place, np.maximum(place - length + 1, words.first[words.doc[place]]))
+            ends = np.flatnonzero(np.arange(len(place)) - low + 1 >= need)
+            if not len(ends):
+                continue
+            # Exact count of different words.
+            common = np.zeros(len(ends), np.int64)
+            for w in np.flatnonzero(self.member[t]):
+                last = np.maximum.accumulate(np.where(word == w, np.arange(len(place)), -1))
+                common += last[ends] >= low[ends]
+            good = np.flatnonzero(common >= need)
+            doc = words.doc[place[ends[good]]]
+            order = np.lexsort((ends[good], -common[good], doc))
+            best = good[order][np.concatenate([[True], np.diff(doc[order]) > 0])] if len(order) else good
+            found += [(int(place[low[ends[i]]]), t, common[i] / self.size[t]) for i in best]
+        return found
+
     def places(self, data, words):
         """(word number, label number) of every place of every phrase, in order of the text."""
         found = []
@@ -178,13 +217,20 @@ class Scan:
             base[d].add(self.phrases[label][2])
         score = [1.0 if b else 0.0 for b in base]
         every = [set(b) for b in base]
-        found = [[] for _ in range(rows)]
+        found, lines = [[] for _ in range(rows)], set()
         for b, t, share in zip(*self.matches(words, block, owner, token)):
             d = int(words.doc[np.searchsorted(block, b)])
             every[d].add(self.labels[t])
             score[d] = max(score[d], float(share))
             origin = block[words.first[d]]
             found[d].append({"label": self.labels[t], "block": int(b - origin), "containment": float(share)})
+            lines.add((d, t))
+        for i, t, share in self.runs(words) if self.block == "run" else ():
+            d = int(words.doc[i])
+            every[d].add(self.labels[t])
+            score[d] = max(score[d], float(share))
+            if (d, t) not in lines:
+                found[d].append({"label": self.labels[t], "block": int(block[i] - block[words.first[d]]), "containment": float(share)})
         join = lambda sets: pa.array([",".join(sorted(s)) for s in sets], pa.string())
         kind = pa.list_(pa.struct([("label", pa.string()), ("block", pa.int64()), ("containment", pa.float64())]))
         return [words.per_doc, pa.array(n_base, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
@@ -214,7 +260,8 @@ def scan(docs: DataFrame, text: str = "text", name: str = "license", carry: list
 
     ``score`` is 1 where a phrase stands, else the largest containment that reaches the
     threshold, else 0.  Null and empty texts: no words, no labels, score 0.  Block numbers
-    count from the block of the first word.  Other columns are kept; one called ``name``
+    count from the block of the first word; a run, listed where no line matches its template,
+    has the line it begins in.  Other columns are kept; one called ``name``
     is replaced.
     """
     prepared = Scan(templates, phrases, threshold, block)

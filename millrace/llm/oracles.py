@@ -85,11 +85,17 @@ p as (select string_split(phrase, ' ') as ws, label from phrases),
 places as (select rid, label, unnest(list_filter(range(1, len(words) + 1), lambda i: words[i:i + len(ws) - 1] = ws)) - 1 as at_ from w, p where list_contains(words, ws[1])),
 base as (select rid, count(*) as n_base, min(at_) as first_word, max(at_) as last_word, list(distinct label) as ls from places group by rid),
 templates(id, label, sentence) as (values {templates}),
-t as (select id, label, list_distinct(regexp_extract_all({lower('sentence')}, '{letters}')) as ws from templates),
+t as (select id, label, list_distinct(all_) as ws, floor(len(all_) / {licenses.THRESHOLD} + 1e-9)::bigint as n
+      from (select *, regexp_extract_all({lower('sentence')}, '{letters}') as all_ from templates)),
 blocks as (select rid, list_distinct(regexp_extract_all(line, '{letters}')) as ws from (select rid, unnest(string_split(text, chr(10))) as line from w)),
 found as (select rid, label, len(list_intersect(b.ws, t.ws)) / len(t.ws)::double as share from blocks b, t
           where len(list_intersect(b.ws, t.ws)) >= ceil({licenses.THRESHOLD} * len(t.ws) - 1e-9)),
-more as (select rid, max(share) as share, list(distinct label) as ls from found group by rid)
+near_ as (select rid, words, t.label, t.ws, t.n from w, t where len(list_intersect(list_distinct(words), ws)) >= ceil({licenses.THRESHOLD} * len(ws) - 1e-9)),
+runs as (select rid, label, len(list_intersect(list_distinct(words[i:i + n - 1]), ws)) / len(ws)::double as share, ws
+         from (select *, unnest(range(1, len(words) + 1)) as i from near_)),
+both_ as (select rid, label, share from found union all
+          select rid, label, share from runs where share * len(ws) + 1e-9 >= ceil({licenses.THRESHOLD} * len(ws) - 1e-9)),
+more as (select rid, max(share) as share, list(distinct label) as ls from both_ group by rid)
 select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
   coalesce(array_to_string(list_sort(base.ls), ','), '') as base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(more.ls, [])))), ','), '') as labels,

@@ -35,7 +35,7 @@ def op4_mixing(spark, sf_dir):
 
 
 def op5_licenses(spark, sf_dir):
-    out = licenses.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    out = licenses.scan(table(spark, sf_dir, "documents"), carry=["doc_id"], block="run")
     return out.select("doc_id", *[f"license.{c}" for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -209,6 +210,40 @@ def test_license_join_against_brute_force(spark):
             assert (row["first_word"], row["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
 
 
+def test_license_runs_against_brute_force(spark):
+    dice = random.Random(8)
+    templates = [(f"t{k}", " ".join(dice.choice("abcdefghij") * 2 for _ in range(dice.randint(1, 9)))) for k in range(6)]
+    words = [c * 2 for c in "abcdefghijklmnop"]
+    texts = [None, "", "\n"] + ["".join(dice.choice(words) + dice.choice([" ", " ", "\n", "\n\n", "\n# "]) for _ in range(dice.randint(1, 60))) for _ in range(200)]
+    for threshold in (0.6, 0.8, 1.0):
+        got = licenses.scan(docs_of(spark, texts), carry=["doc_id"], templates=templates, threshold=threshold, block="run", phrases={}).filter("doc_id is not null")
+        for row in got.select("doc_id", "license.*").collect():
+            text = texts[row["doc_id"]] or ""
+            every, best = LETTERS.findall(text), {}
+            for k, (label, t) in enumerate(templates):
+                have = LETTERS.findall(t)
+                size = int(len(have) / threshold + 1e-9)
+                blocks = [LETTERS.findall(line) for line in text.split("\n")] + [every[i:i + size] for i in range(len(every))]
+                share = max(len(set(b) & set(have)) / len(set(have)) for b in blocks)
+                if share >= threshold - 1e-9:
+                    best[label] = share
+            assert row["labels"] == ",".join(sorted(best)) and row["score"] == pytest.approx(max(best.values(), default=0))
+            assert {m["label"] for m in row["matches"]} == set(best)
+
+
+def test_wrapped_notices_are_labelled(spark):
+    words = [f"word{i}" for i in range(40)]
+    def wrapped(text, width, sign):
+        return "\n".join(sign + line for line in textwrap.wrap(" ".join(words[:17]) + ". " + text + ". " + " ".join(words[17:]), width))
+
+    cases = [(label, wrapped(t, width, sign)) for label, t in licenses.TEMPLATES for width in (30, 75) for sign in ("", " * ", "// ", "# ")]
+    clean = [" ".join(words), "permission to read is granted\nfree of charge to any person", "all of it\nrights aside"]
+    rows = licenses.scan(docs_of(spark, [t for _, t in cases] + clean), carry=["doc_id"], block="run").filter("doc_id is not null").select("doc_id", "license.labels").collect()
+    got = dict(tuple(r) for r in rows)
+    assert all(label in got[i].split(",") for i, (label, _) in enumerate(cases))
+    assert all(got[len(cases) + i] == "" for i in range(len(clean)))
+
+
 def test_rule_spans_follow_the_patterns():
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     dice = random.Random(4)
