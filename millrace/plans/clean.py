@@ -6,7 +6,7 @@ win over a good row; of several good ones the newest ingestion wins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace import lookups
 from millrace.functions.dates import parse_day
@@ -17,6 +17,11 @@ def _newest(df: DataFrame, order_by: str | None):
     return [F.col(order_by).desc_nulls_last()] if order_by else []
 
 
+def processed(df: DataFrame, at: Column | None = None) -> DataFrame:
+    """The clean table as it is stored: with the time of the job, ``processed_timestamp``, the same in every row."""
+    return df.withColumn("processed_timestamp", F.current_timestamp() if at is None else at)
+
+
 def clean_metadata(meta: DataFrame, newest: str | None = None) -> DataFrame:
     named = meta.filter(F.col("series_id").isNotNull() & F.col("name").isNotNull())
     return dedupe(named, ["series_id"], _newest(named, newest))

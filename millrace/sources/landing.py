@@ -7,20 +7,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.dates import parse_day
 from millrace.operators.lookup import with_lookup
 
+# The fields of an envelope's bar and the columns they become.
+BAR_NAMES = {"t": "date", "h": "high", "l": "low", "c": "last", "v": "volume"}
+
 
 def explode_bars(envelopes: DataFrame) -> DataFrame:
-    """One row per bar.  Pages of a symbol need no merging: each explodes on its own."""
-    keep = [c for c in ("source_file", "ingestion_timestamp") if c in envelopes.columns]
-    return envelopes.select("symbol", "type", F.explode("bars").alias("bar"), *keep).select(
-        "symbol",
-        F.substring("bar.t", 1, 10).alias("date"),
-        F.col("bar.h").cast("double").alias("high"),
-        F.col("bar.l").cast("double").alias("low"),
-        F.col("bar.c").cast("double").alias("last"),
-        F.col("bar.v").cast("long").alias("volume"),
-        "type",
-        *keep,
-    )
+    """One row per bar of envelopes of the declared schema, whose types it keeps.
+
+    Pages of a symbol need no merging: each unfolds on its own.
+    """
+    whose = [c for c in envelopes.columns if c in ("source_file", "ingestion_timestamp")]
+    unfolded = envelopes.select("symbol", F.inline("bars"), "type", *whose)
+    return unfolded.withColumnsRenamed(BAR_NAMES).withColumn("date", F.left("date", F.lit(10))).select("symbol", *BAR_NAMES.values(), "type", *whose)
 
 
 def merge_pages(envelopes: DataFrame) -> DataFrame:

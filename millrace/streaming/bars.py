@@ -94,7 +94,8 @@ def first_arrivals(stream: DataFrame, keys: list[str], arrival: str, hold: int)
     return marked.groupBy(*keys).applyInPandasWithState(pick, stream.schema, "seen boolean", "append", "EventTimeTimeout")
 
 
-def _among(column: str, values: list) -> Column:
+def among(column: str, values: list) -> Column:
+    """Whether a column is one of ``values``, of which null may be one."""
     known = F.col(column).isin([v for v in values if v is not None])
     return known | F.col(column).isNull() if None in values else known
 
@@ -111,7 +112,7 @@ def append_new(batch: DataFrame, path: str, keys: list[str], partition_by: str)
         if path_exists(spark, path):
             # One row per partition value of the batch, such as its calendar years.
             touched = [r[0] for r in rows.select(partition_by).distinct().collect()]
-            old = spark.read.schema(rows.schema).parquet(path).filter(_among(partition_by, touched)).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            old = spark.read.schema(rows.schema).parquet(path).filter(among(partition_by, touched)).select(*[F.col(k).alias(f"_{k}") for k in keys])
             same = [rows[k].eqNullSafe(old[f"_{k}"]) for k in keys]
             rows = rows.join(old, same, "left_anti")
         rows.write.mode("append").partitionBy(partition_by).parquet(path)

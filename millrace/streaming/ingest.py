@@ -13,6 +13,7 @@ from millrace.plans.clean import clean_bars
 from millrace.session import path_exists
 from millrace.sinks.files import write_table
 from millrace.sources.landing import explode_bars
+from millrace.streaming.bars import among
 
 
 def envelope_stream(
@@ -112,8 +113,7 @@ def upsert_by_year(batch: DataFrame, path: str, symbols: list[str] | None = None
         years = [r.year for r in clean.select("year").distinct().collect()]
         if not years:
             return
-        among = F.col("year").isin([y for y in years if y is not None])
-        old = spark.read.parquet(path).filter(among | F.col("year").isNull() if None in years else among)
+        old = spark.read.parquet(path).filter(among("year", years))
         both = old.unionByName(clean.select(*old.columns))
         clean = dedupe(both, ["symbol", "date"], [F.col("ingestion_timestamp").desc_nulls_last()])
     write_table(clean, path, "overwrite", ["year"], touched_only=True)
@@ -125,24 +125,36 @@ def append_bars(batch: DataFrame, path: str, symbols: list[str] | None = None) -
     Only the batch is written, however long the years it touches are.  A job that dies
     loses nothing, and a batch written twice, or in part and then again, reads as once.
     """
-    write_table(clean_bars(batch, symbols, newest="ingestion_timestamp"), path, "append", ["year"])
+    write_table(_part(clean_bars(batch, symbols, newest="ingestion_timestamp"), "added"), path, "append", ["part", "year"])
+
+
+def _part(bars: DataFrame, part: str) -> DataFrame:
+    """``added`` rows may hold several versions of a bar, ``merged`` ones hold each bar once."""
+    return bars.withColumn("part", F.lit(part))
 
 
 def current_bars(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of every bar in the log, bars without a readable date included.
 
-    The year follows from the date, so naming it as a key changes no row but lets a
-    filter on year reach the partitions.
+    Only years to which something was added since the log was merged are ranked; the others
+    are a plain scan.  Which years those are is told by the partitions of the added part.  The
+    year follows from the date, so naming it as a key changes no row but lets a filter on
+    year reach the partitions.
     """
-    return dedupe(spark.read.parquet(path), ["symbol", "date", "year"], [F.col("ingestion_timestamp").desc_nulls_last()])
+    log = spark.read.parquet(path)
+    # One row per calendar year; a scan of partition values, no column is read.
+    years = [r[0] for r in log.filter("part = 'added'").select("year").distinct().collect()]
+    newest = [F.col("ingestion_timestamp").desc_nulls_last()]
+    ranked = dedupe(log.filter(among("year", years)).drop("part"), ["symbol", "date", "year"], newest)
+    return log.filter(~F.coalesce(among("year", years), F.lit(False))).drop("part").unionByName(ranked)
 
 
 def compact_bars(spark: SparkSession, path: str, target: str) -> DataFrame:
-    """Write the current bars as a new log at ``target`` and return its reader.
+    """Write the current bars as the merged part of a new log at ``target`` and return its reader.
 
     ``path`` stays as it is: its readers go on, and a writer moves over between two runs.
     """
-    write_table(current_bars(spark, path), target, "errorifexists", ["year"], sort_by=["symbol", "date"])
+    write_table(_part(current_bars(spark, path), "merged"), target, "errorifexists", ["part", "year"], sort_by=["symbol", "date"])
     return current_bars(spark, target)
 
 

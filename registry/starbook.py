@@ -8,7 +8,7 @@ from millrace import lookups, schemas
 from millrace.operators import quality
 from millrace.plans import clean, metrics, prices as P, star
 from millrace.session import scratch_path
-from millrace.sinks.files import SERVING, publish
+from millrace.sinks.files import SERVING, publish, write_table
 from registry.basics import _FIGURES, _STATE, rounded
 from registry.book import query
 from registry.fixtures import HOUSING_CODES, SYMBOLS
@@ -32,6 +32,24 @@ def _(d):
     return clean_tables(d)["bars"]
 
 
+_STAMPED = "count(*) as rows, cast(1 as bigint) as times, true as after_start"
+
+
+@query("cln04_processed_time", f"""
+select 'bars' as name, {_STAMPED} from sv_bars union all select 'indicators', {_STAMPED} from sv_indicators""")
+def _(d):
+    """Clean tables stored with the time of their job: one time a table, not before the job's start."""
+    start = d.spark.range(1).select(F.current_timestamp()).first()[0]
+    tables, root, told = clean_tables(d), scratch_path(d.spark, "processed"), None
+    for name in ("bars", "indicators"):
+        write_table(clean.processed(tables[name]), f"{root}/{name}", partition_by=["year"])
+        row = d.spark.read.parquet(f"{root}/{name}").agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.count_distinct("processed_timestamp").alias("times"),
+            (F.min("processed_timestamp") >= F.lit(start)).alias("after_start"))
+        told = row if told is None else told.unionByName(row.select(told.columns))
+    return told
+
+
 @query("dim01_time", "select * from o_dim_time")
 def _(d):
     s = silver(d)

@@ -103,6 +103,17 @@ def _(d):
     return I.current_bars(d.spark, dst).drop("ingestion_timestamp")
 
 
+@query("str04_merged_log", "select symbol, type, date, high, low, last, volume, date_parsed, year from sv_bars")
+def _(d):
+    """A log that is merged after its first load and then goes on: only years of the second load are ranked."""
+    path, merged = scratch_path(d.spark, "bar_log"), scratch_path(d.spark, "merged_log")
+    stamped = d.fx_raw_bars.withColumn("ingestion_timestamp", F.timestamp_seconds(c("load_id")))
+    I.append_bars(stamped.filter(c("load_id") == 1).drop("load_id"), path, SYMBOLS)
+    I.compact_bars(d.spark, path, merged)
+    I.append_bars(stamped.filter(c("load_id") == 2).drop("load_id"), merged, SYMBOLS)
+    return I.current_bars(d.spark, merged).drop("ingestion_timestamp")
+
+
 @query("str04_upsert_in_place", "select symbol, type, date, high, low, last, volume, date_parsed, year from sv_bars")
 def _(d):
     """Two loads merged into the clean table, the second twice as a retried batch is."""

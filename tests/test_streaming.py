@@ -178,6 +178,13 @@ def test_appended_bars_survive_a_broken_batch(spark, tmp_path):
     one_year = I.current_bars(spark, path).filter("year = 2024")
     assert "PartitionFilters: [isnotnull(year" in one_year._jdf.queryExecution().toString()
     assert rows(one_year) == [want[1], want[3]]
+    # After a merge only the years that something was added to are ranked, the undated ones among them.
+    merged = I.current_bars(spark, compacted)
+    assert rows(merged) == want and "Window" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    I.append_bars(load(("AAPL", "2024-05-01", 7.0, 3), ("AAPL", "bad", 4.0, 3), ("MSFT", "2025-01-02", 8.0, 3)), compacted)
+    newer = [want[0], ("AAPL", "2024-05-01", 7.0, 2024), ("AAPL", "bad", 4.0, None), want[3], ("MSFT", "2025-01-02", 8.0, 2025)]
+    assert rows(I.current_bars(spark, compacted)) == sorted(newer, key=lambda r: r[:2])
+    assert rows(I.current_bars(spark, compacted).filter("year = 2023")) == [want[0]]
 
 
 def test_audit_and_sweep(spark, tmp_path):
