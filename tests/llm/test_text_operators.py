@@ -185,6 +185,35 @@ def test_descent_reaches_the_optimum():
         assert value(w + dice.normal(size=3) * 0.01, b + dice.normal() * 0.01) >= best - 1e-3
 
 
+def test_quality_of_very_long_texts_and_against_plain_sums(spark):
+    """Scores equal sums over plain sets of features, and stand for the text however long it is."""
+    dice = random.Random(21)
+    pools = [[f"{c}{i}" for i in range(300)] for c in ("good", "bad")]
+    common = [f"w{i}" for i in range(300)]
+    text = lambda k, n: " ".join(dice.choice(pools[k] if dice.random() < 0.2 else common) for _ in range(n))
+    rows = [(i, text(i % 2, 60), 1 - i % 2) for i in range(400)]
+    model = nbsvm.fit(spark.createDataFrame(rows, "doc_id bigint, text string, label int"))
+    # Half of a long text is of words never seen, so its different features are far more than the dictionary.
+    strange = " ".join(f"x{i * 7919}y" for i in range(200_000))
+    probe = [("good", text(0, 200_000) + " " + strange), ("bad", text(1, 200_000) + " " + strange), ("good", text(0, 60)), ("bad", text(1, 60)), (None, "")]
+    got = nbsvm.predict(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(probe)], "doc_id bigint, text string"), model).collect()
+    score = {r["doc_id"]: r["quality"]["score"] for r in got}
+    assert min(score[0], score[2]) > 0.7 > 0.3 > max(score[1], score[3])
+
+    places = dict(zip(model.dictionary.tolist(), range(len(model.dictionary))))
+    for i in (2, 3):
+        t = probe[i][1]
+        data = t.encode()
+        runs = {data[k:k + 4] for k in range(len(data) - 3)}
+        words = BLANK.findall(t)
+        pairs = {" ".join(p) for p in zip(words, words[1:])}
+        one = lambda s: nbsvm.everywhere(np.frombuffer(s, np.uint8), np.array([0, len(s)]))[1].tolist()
+        values = {one(w.encode())[0] for w in set(words)} | {one(p.encode())[2] for p in pairs} | {one(b"\x00" + r)[-1] for r in runs}
+        at = [places[v] for v in values if v in places]
+        margin = sum(model.weights[a] for a in at) / math.sqrt(sum(model.scale[a] ** 2 for a in at)) + model.bias
+        assert score[i] == pytest.approx(1 / (1 + math.exp(-(model.slope * margin + model.shift))))
+
+
 def test_license_join_against_brute_force(spark):
     dice = random.Random(3)
     templates = [(f"t{k}", " ".join(dice.choice("abcdefghij") * 2 for _ in range(dice.randint(1, 9)))) for k in range(6)] + [("gpl", "General Public License")]
