@@ -458,6 +458,63 @@ def test_secrets_after_names_and_of_known_forms(spark):
     assert label[ghp] == label[akia] == label[bare] == label["hunter2!x"] == 1.0
 
 
+def test_secrets_in_contexts_that_were_not_planted(spark):
+    """The forest is fitted on planted findings; these texts have other words, names and frames."""
+    dice = random.Random(12)
+    draw = lambda n, of="0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ": "".join(dice.choice(of) for _ in range(n))
+    words = "river stone garden window letter music winter market bridge story animal yellow".split()
+    secret, alarm = [], []
+    for _ in range(40):
+        w, x, y = dice.sample(words, 3)
+        secret += [f"SMTP_PASSWD={draw(9)}!7{draw(3)}", f"{w} service_token => '{draw(32)}' # {x}", f"curl -H 'Authorization: Bearer {draw(48)}' https://{w}.org",
+                   f"the old {w} used AKIA{draw(16, 'ABCDEFGHIJKLMNOP234567')} for {x}", f'    "sessionSecret": "{draw(40, "0123456789abcdef")}"', "DB_PASSWORD=" + " " * 20 + f'"Zk9!{draw(6)}"',
+                   "my_" * 30 + f"token = {draw(30)}"]
+        alarm += [f"token: {w}", f"password = {w}_{x}", "access_token: none", f"secret: '{{{{ env.{w.upper()}_TOKEN }}}}'", f"fixed in {draw(40, '0123456789abcdef')} of {w}", f"see /{w}/{x}2021/{y}/notes.html",
+                  f"{w}_{x}_{y}_12", f"api_key = 'your-{w}-key'", f"the {w} token: a {x}"]
+    prose = [" ".join(dice.choices(words, k=40)) for _ in range(60)]
+    texts = ["x"] + secret + alarm + prose
+    rows = [r for r in secrets.scan(docs_of(spark, texts)).collect() if r["doc_id"]]
+    assert all(texts[r["doc_id"]][r["start"]:r["end"]] == r["candidate"] for r in rows)
+    hit = {r["doc_id"] for r in rows if r["secret"]}
+    right = {i for i in hit if i <= len(secret)}
+    assert len(right) >= 0.95 * len(secret) and len(right) >= 0.95 * len(hit), ([texts[i] for i in range(1, len(secret) + 1) if i not in hit][:9], [texts[i] for i in hit - right][:9])
+
+
+def test_values_of_names_against_a_plain_scan(spark):
+    """Names, signs and quotes in all combinations, with names and blanks of any length."""
+    dice = random.Random(13)
+    texts, want = ["x"], [None]
+    for name in ["token", "MY_API_KEY", "x" * 5000 + "_secret_" + "y" * 5000, "a/b/passwd", "Auth-Token", "ab1/" * 50 + "key.pwd"]:
+        for sign in ["=", " = ", ": ", ":=", " => ", "=" + " " * 3000, "\t:\t"]:
+            for quote in ['"', "'", "`", ""]:
+                value = "".join(dice.choice("abcXYZ019%!") for _ in range(dice.choice([1, 7, 30]))) + "z"
+                texts.append(f"some words {name}{sign}{quote}{value}{quote} more")
+                want.append(value)
+    got = {}
+    for r in secrets.candidates(docs_of(spark, texts)).collect():
+        assert texts[r["key"]][r["start"]:r["end"]] == r["candidate"]
+        got.setdefault(r["key"], []).append(r["candidate"])
+    for i, value in enumerate(want):
+        assert value is None or value in got.get(i, []), texts[i][-80:]
+
+
+def test_dictionary_counts_all_texts(spark):
+    texts = [f"rare{chr(97 + k % 26)}word stands here" for k in range(100)] + ["été x_hidden_y"] * 3 + [None, ""]
+    words = {r[0] for r in secrets.dictionary(docs_of(spark, texts)).collect()}
+    assert words == {f"rare{chr(97 + k)}word" for k in range(26)} | {"stands", "here", "été"}
+    found = spark.createDataFrame([("StandsHere_9",), ("été-qqq",), ("x9",)], "candidate string").withColumns({c: F.lit("") for c in ("path", "before", "after")})
+    covered = {r["candidate"]: r["covered"] for r in secrets.with_features(found, secrets.dictionary(docs_of(spark, texts))).collect()}
+    assert covered == {"StandsHere_9": 10 / 12, "été-qqq": 3 / 7, "x9": 0.0}
+
+
+def test_a_forest_of_many_findings_takes_a_share_of_each_label(spark):
+    found = spark.range(4000).selectExpr("cast(id as string) || 'abcdef' as candidate", "'' as path", "'' as before", "'' as after", "cast(id % 2 as double) as label")
+    found = secrets.with_features(found).withColumn("length", F.rand(1) + F.col("label") * 2)
+    scored = secrets.fit(found, findings=200, trees=5).scored(found).filter("(score >= 0.5) = (label = 1)").count()
+    assert scored > 3900
+    assert secrets.fit(found.filter("label = 1")).constant == 1.0 and secrets.fit(found.limit(0)).constant == 0.5
+
+
 def smith_waterman(item, text):
     best, above = 0, [0] * (len(text) + 1)
     for a in item:
