@@ -320,7 +320,8 @@ def link_table(docs: DataFrame, key: str = "doc_id", text: str = "text", **optio
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class, that of the smallest key (nulls last, then the text's digest).
 
-    Rows without words are all kept.  Of fully equal rows one stays.
+    Rows without words are all kept.  Of rows equal in key and text one stays, by a digest of
+    their other columns; of fully equal rows any one.
     """
     made = join(docs, key, text, **options)
     ranked = made.rows.filter("n > 0").select("key", "text_key", "digest").join(made.classes.select("digest", "root"), "digest")
@@ -331,6 +332,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     chosen = stable(chosen.withColumn("__blank", F.lit(False)).union(blank.withColumn("__blank", F.lit(True))))
     mine = docs.withColumn("__text_key", F.md5(F.col(text)))
     joined = mine.join(chosen, mine["__text_key"].eqNullSafe(chosen["__text"]) & mine[key].eqNullSafe(chosen["__key"]))
-    once = Window.partitionBy("__text_key", key).orderBy(F.lit(0))
+    # Rows of one key and text are ordered by their other columns, so a task run anew keeps the same one.
+    rest = [docs[c] for c in docs.columns if c.lower() not in (key.lower(), text.lower())]
+    once = Window.partitionBy("__text_key", key).orderBy(F.md5(F.to_json(F.struct(*rest))) if rest else F.lit(0))
     joined = joined.withColumn("__n", F.when(F.col("__blank"), 1).otherwise(F.row_number().over(once)))
     return joined.filter("__n = 1").select(*[docs[c] for c in docs.columns])

@@ -515,6 +515,16 @@ def test_a_forest_of_many_findings_takes_a_share_of_each_label(spark):
     assert secrets.fit(found.filter("label = 1")).constant == 1.0 and secrets.fit(found.limit(0)).constant == 0.5
 
 
+def test_of_rows_equal_in_key_and_text_the_same_one_stays(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, text, "en", s) for s in "abcdef"] + [(1, text, None, "z"), (2, text + " more", "de", "a"), (None, None, None, "a")]
+    kept = []
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string, lang string, source string").repartition(3)
+        kept.append(sorted(map(tuple, neardup.keep_one(docs).collect()), key=str))
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+
+
 def smith_waterman(item, text):
     best, above = 0, [0] * (len(text) + 1)
     for a in item:
