@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import text as X
 from millrace.operators.rows import stack, year_over_year
+from millrace.operators.sized import if_small
 from millrace.plans import metrics
 from millrace.session import stable
 
@@ -283,12 +284,14 @@ def corpus(
 def corpus_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """Documents that only one of two versions has: the row, and ``change`` 'added' or 'removed'.
 
-    A document whose text changed is one of each.  Versions meet by content_id, so nothing but
-    the ids of both is shuffled before the few rows that differ are known.
+    A document whose text changed is one of each.  Versions meet by content_id, counted in one
+    pass over both, so nothing but ids is shuffled before those that differ are known; few of
+    them go to where the rows are made, and no other row moves.
     """
-    one, two = (df.select("content_id").distinct() for df in (old, new))
-    gone = stable(one.join(two, "content_id", "left_anti"))
-    come = stable(two.join(one, "content_id", "left_anti"))
+    told = old.select("content_id", F.lit(-1).alias("side")).unionByName(new.select("content_id", F.lit(1).alias("side")))
+    sides = told.groupBy("content_id").agg(F.min("side").alias("low"), F.max("side").alias("high"))
+    differ = stable(sides.filter("low = high"))
+    come, gone = (if_small(differ.filter(F.col("low") == side).select("content_id")) for side in (1, -1))
     changed = [df.join(ids, "content_id", "left_semi").dropDuplicates(["content_id"]).withColumn("change", F.lit(word))
                for df, ids, word in ((new, come, "added"), (old, gone, "removed"))]
     return changed[0].unionByName(changed[1])
