@@ -24,5 +24,6 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit_length(a: Column) -> Column:
-    length = norm(a)
-    return F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length))
+    # A list of one, so that the length is summed once a vector and not once a component.
+    scaled = lambda length: F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length))
+    return F.get(F.transform(F.array(norm(a)), scaled), F.lit(0))

@@ -12,7 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions.vectors import unit_length
+from millrace.functions.vectors import norm, unit_length
 from millrace.operators.search import search, search_lists
 from millrace.session import stable
 from millrace.sinks.files import write_table
@@ -36,18 +36,19 @@ def build_ivf(
     if centroids is not None:
         centroids.selectExpr("cast(list_id as int) as list_id", "cast(centroid as array<double>) as centroid").write.mode("overwrite").parquet(f"{path}/centroids")
         centers, ids = _centroids(spark, path)
-        usable = chunks.filter(unit_length(F.col("embedding")).isNotNull())
+        usable = chunks.filter(norm(F.col("embedding")) > 0)
         assigned = usable.withColumn("list_id", nearest_lists(F.col("embedding"), centers, ids, 1)[0])
         write_table(assigned, f"{path}/lists", partition_by=["list_id"])
         return
 
     def features(df: DataFrame) -> DataFrame:
-        return df.withColumn("_unit", array_to_vector(unit_length(F.col("embedding")))).filter("_unit is not null")
+        usable = df.filter(norm(F.col("embedding")) > 0)
+        return usable.withColumn("_unit", array_to_vector(unit_length(F.col("embedding"))))
 
     usable = features(chunks)
     model = KMeans(
         k=lists, maxIter=iterations, seed=seed, featuresCol="_unit", predictionCol="list_id", initSteps=2
-    ).fit(features(train) if train is not None else usable)
+    ).fit((features(train) if train is not None else usable).select("_unit"))
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     spark.createDataFrame(centers, "list_id int, centroid array<double>").write.mode("overwrite").parquet(
         f"{path}/centroids"
