@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace import lookups
 from millrace.functions.dates import parse_day
 from millrace.operators.rows import dedupe
+from millrace.operators.sized import if_small
 
 
 def _newest(df: DataFrame, order_by: str | None):
@@ -63,8 +64,9 @@ def clean_housing(
         & F.col("indicator_id").isin(wanted) & (F.col("date") >= F.lit(since).cast("date"))
     ).withColumn("value", F.col("value").cast("decimal(30,10)"))
     names = dedupe(indicators.filter(F.col("indicator").isNotNull()), ["indicator_id"])
+    # Few as a rule: dealt by indicator, the figures would meet in as many tasks as there are indicators.
     return (
-        kept.join(names.select("indicator_id", "indicator"), "indicator_id", "left")
+        kept.join(if_small(names.select("indicator_id", "indicator")), "indicator_id", "left")
         .join(clean_regions(regions).select("region_id", "region_type", "region"), "region_id", "left")
         .select("indicator_id", "region_id", "date", "value", "indicator", "region_type", "region")
     )

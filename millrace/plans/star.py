@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from millrace import lookups, schemas
 from millrace.functions import paths
 from millrace.functions.dates import calendar, first_of_year
-from millrace.functions.hashing import content_md5, hash_key
+from millrace.functions.hashing import content_md5, hash_key, leading_bits
 from millrace.operators.keys import dense_key, unique_hash_key
 from millrace.operators.lookup import with_lookup
 from millrace.operators.rows import conform, dedupe, stack, stack_distinct
-from millrace.session import stable
+from millrace.session import scratch_path, side_by_side, stable
 
 
 # -- dimensions ---------------------------------------------------------------
@@ -82,8 +82,12 @@ def dim_value(
         indicator_values(indicators, series_units).select("value", "unit"),
         housing_values(housing, housing_units).select("value", "unit"),
     )
-    hashed = distinct.withColumn("value_hash", content_md5(F.col("value"), F.col("unit")))
-    return dense_key(hashed, ["value_hash"], "value_key", key_type=key_type).drop("value_hash")
+    # The bytes of a digest have the order of its hex text in half the length.
+    hashed = distinct.withColumn("value_hash", F.unhex(content_md5(F.col("value"), F.col("unit"))))
+    return dense_key(
+        hashed, ["value_hash"], "value_key", key_type=key_type, spread=leading_bits(F.col("value_hash")),
+        unneeded=("value_hash",),
+    )
 
 
 def dim_socioeconomical_indicator(meta: DataFrame) -> DataFrame:
@@ -187,25 +191,31 @@ def fact_value(*facts: DataFrame, key_type: str = "int") -> DataFrame:
 
 # -- everything ---------------------------------------------------------------
 
-def build_star(indicators, meta, housing, bars, series_units=None, key_type: str = "int") -> dict[str, DataFrame]:
+def build_star(indicators, meta, housing, bars, series_units=None, key_type: str = "int", path: str | None = None) -> dict[str, DataFrame]:
     """All tables of the star schema from the three clean tables.
 
-    Each dimension is written to the scratch folder once; the facts read those tables.
+    Each dimension is written once, to its folder in ``path`` (else in the scratch folder); they
+    do not need each other and are written side by side.  The facts read those tables.
     ``key_type`` is that of the dense keys: ``bigint`` for more than 2^31 values or bars.
     """
     spark = bars.sparkSession
     units = series_units if series_units is not None else lookups.series_units(spark)
     house_units = lookups.housing_units(spark)
-    star = {name: stable(dim) for name, dim in {
-        "dim_time": dim_time(indicators, housing, bars),
-        "dim_country": dim_country(indicators),
-        "dim_region": dim_region(housing, lookups.states(spark)),
-        "dim_value": dim_value(indicators, housing, units, house_units, key_type),
-        "dim_socioeconomical_indicator": dim_socioeconomical_indicator(meta),
-        "dim_realestate_indicator": dim_realestate_indicator(housing, lookups.housing_descriptions(spark)),
-        "dim_asset": dim_asset(bars),
-        "dim_cryptostock_value": dim_asset_value(bars, key_type),
-    }.items()}
+    states, descriptions = lookups.states(spark), lookups.housing_descriptions(spark)
+    root = path or scratch_path(spark, "dimensions")
+    dims = {
+        "dim_value": lambda: dim_value(indicators, housing, units, house_units, key_type),
+        "dim_region": lambda: dim_region(housing, states),
+        "dim_time": lambda: dim_time(indicators, housing, bars),
+        "dim_country": lambda: dim_country(indicators),
+        "dim_socioeconomical_indicator": lambda: dim_socioeconomical_indicator(meta),
+        "dim_realestate_indicator": lambda: dim_realestate_indicator(housing, descriptions),
+        "dim_asset": lambda: dim_asset(bars),
+        "dim_cryptostock_value": lambda: dim_asset_value(bars, key_type),
+    }
+    star = side_by_side(spark, {
+        name: lambda name=name, dim=dim: stable(dim(), f"{root}/{name}") for name, dim in dims.items()
+    })
     star["fact_value"] = fact_value(
         fact_indicator(indicators, units, star["dim_value"], star["dim_country"], star["dim_time"]),
         fact_housing(

@@ -307,13 +307,13 @@ class Data:
             raise AttributeError(name)
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in self._plans:
-            self._plans[key] = self._view(name) if name in FX else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._plans[key] = self.view(name) if name in FX else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._plans[key]
 
-    def _view(self, name: str) -> DataFrame:
-        """A fixture over the tables and fixtures its text names."""
+    def view(self, name: str, **given: DataFrame) -> DataFrame:
+        """A fixture over the tables and fixtures its text names, or those ``given`` in their place."""
         used = [n for n in [*TABLES, *FX] if n != name and re.search(rf"\b(from|join) {n}\b", FX[name])]
-        text, tables = FX[name], {n: getattr(self, n) for n in used}
+        text, tables = FX[name], {n: given[n] if n in given else getattr(self, n) for n in used}
         if name == "fx_chunks":
             # A remainder of 200 meets 399 numbers at most, so the texts need not move for it.
             text = text.replace("join embeddings f", "join {few} f")
