@@ -15,6 +15,8 @@ the driver is the different features of those texts, eight bytes each.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,8 +58,15 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def distinct(owner: np.ndarray, number: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs, each once and sorted; ``number`` is below ``size``."""
-    keys = np.unique(owner.astype(np.int64) * max(1, size) + number)
-    return keys // max(1, size), keys % max(1, size)
+    # Sorted here, as np.unique may hash, which takes many times as long over so many keys.
+    keys = owner.astype(np.int64) * max(1, size) + number
+    keys.sort()
+    return np.divmod(keys[firsts(keys)], max(1, size))
+
+
+def firsts(values: np.ndarray) -> np.ndarray:
+    """Places in sorted ``values`` where a value stands first."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[:len(values)])
 
 
 class Model:
@@ -67,12 +76,30 @@ class Model:
         self.dictionary, self.scale, self.weights = dictionary, scale, weights
         self.bias, self.slope, self.shift = bias, slope, shift
 
+    @cached_property
+    def heads(self) -> tuple[np.uint64, np.ndarray]:
+        """Bits to drop from a feature, and for each value of the bits left the first place in the dictionary that is not below it."""
+        bits = (2 * len(self.dictionary)).bit_length()
+        drop = np.uint64(64 - bits)
+        return drop, np.searchsorted(self.dictionary, np.arange(1 << bits, dtype=np.uint64) << drop).astype(np.int32)
+
+    def places(self, value: np.ndarray) -> np.ndarray:
+        """What ``np.searchsorted(dictionary, value)`` returns; hashes spread evenly, so few steps from the head lead there."""
+        drop, head = self.heads
+        ended = np.append(self.dictionary, ~np.uint64(0))
+        at = head[value >> drop]
+        low = np.flatnonzero(ended[at] < value)
+        while len(low):
+            at[low] += 1
+            low = low[ended[at[low]] < value[low]]
+        return at
+
     def margins(self, data, offsets):
         rows = len(offsets) - 1
         if not len(self.dictionary):
             return np.full(rows, self.bias)
         owner, value = everywhere(data, offsets)
-        at = np.searchsorted(self.dictionary, value)
+        at = self.places(value)
         at[at == len(self.dictionary)] = 0
         known = self.dictionary[at] == value
         owner, feature = distinct(owner[known], at[known], len(self.dictionary))
@@ -192,7 +219,7 @@ def _held_by(lists: list[np.ndarray], least: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     every = np.concatenate(lists)
     every.sort()
-    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[:len(every)])
+    first = firsts(every)
     return every[first[np.diff(np.concatenate([first, [len(every)]])) >= least]]
 
 

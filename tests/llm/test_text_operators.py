@@ -4,6 +4,7 @@ import math
 import random
 import re
 import textwrap
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -214,6 +215,42 @@ def test_quality_of_very_long_texts_and_against_plain_sums(spark):
         assert score[i] == pytest.approx(1 / (1 + math.exp(-(model.slope * margin + model.shift))))
 
 
+def test_quality_features_are_found_as_by_binary_search():
+    dice = np.random.default_rng(5)
+    top = 2**64 - 1
+    for dictionary in ([7], [0], [top], [0, 1, 2, 3, 5, top - 1], dice.integers(0, top, 5000, np.uint64, True), 2**63 + np.arange(300, dtype=np.uint64)):
+        dictionary = np.unique(np.array(dictionary, np.uint64))
+        model = nbsvm.Model(dictionary, np.ones(len(dictionary)), np.ones(len(dictionary)), 0.0, 1.0, 0.0)
+        one = np.uint64(1)
+        value = np.concatenate([dictionary, dictionary + one, dictionary - one, dice.integers(0, top, 3000, np.uint64, True), np.array([0, top], np.uint64)])
+        assert (model.places(value) == np.searchsorted(dictionary, value)).all()
+        assert len(model.places(value[:0])) == 0
+
+
+def test_quality_scores_cost_little_beside_making_the_features():
+    """Finding features in the dictionary and leaving out repeats took some ten times as long as making them."""
+    dice = np.random.default_rng(6)
+    vocabulary = [f"{a:x}" for a in dice.integers(16, 16**7, 20_000).tolist()]
+    texts = [" ".join(vocabulary[i] for i in (dice.pareto(1.0, 500) * 20).astype(int) % 20_000).encode() for _ in range(600)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    dictionary = np.unique(nbsvm.features(data, offsets)[1])
+    model = nbsvm.Model(dictionary, dice.normal(size=len(dictionary)), dice.normal(size=len(dictionary)), 0.1, 1.0, 0.0)
+
+    def least(job):
+        taken = []
+        for _ in range(4):
+            began = time.thread_time()
+            job(data, offsets)
+            taken.append(time.thread_time() - began)
+        return min(taken)
+
+    assert least(model.margins) < 7 * least(nbsvm.everywhere)
+    for i in (0, 599):
+        own = np.frombuffer(texts[i], np.uint8)
+        at = np.searchsorted(dictionary, np.unique(nbsvm.everywhere(own, np.array([0, len(own)]))[1]))
+        assert model.margins(data, offsets)[i] == pytest.approx(model.weights[at].sum() / math.sqrt((model.scale[at] ** 2).sum()) + 0.1)
+
+
 def test_license_join_against_brute_force(spark):
     dice = random.Random(3)
     templates = [(f"t{k}", " ".join(dice.choice("abcdefghij") * 2 for _ in range(dice.randint(1, 9)))) for k in range(6)] + [("gpl", "General Public License")]
